@@ -18,7 +18,8 @@ SORT_KEYS = ("lat_q", "lon_q", "year")
 
 def read_grid(spark: SparkSession, *paths: str) -> DataFrame:
     """Scan decoded grid tables with the fixed schema; several paths are one table."""
-    return spark.read.schema(schema.GRID).parquet(*paths)
+    columns = schema.struct_type(schema.GRID).names
+    return spark.read.schema(schema.GRID).parquet(*paths).select(*columns)
 
 
 def read_countries(spark: SparkSession, path: str) -> DataFrame:

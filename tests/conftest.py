@@ -16,6 +16,8 @@ def spark(tmp_path_factory):
         memory="4g",
         **{
             "spark.sql.warehouse.dir": str(scratch / "warehouse"),
+            "spark.sql.maxMetadataStringLength": "4000",
+            "spark.ui.showConsoleProgress": "false",
             "spark.local.dir": str(scratch / "local"),
         },
     )
