@@ -21,7 +21,7 @@ def regional_yearly(grid: DataFrame, cfg: RunConfig) -> DataFrame:
     """
     require_columns(grid, *SERIES_KEYS, "lat", "lon", "lat_q", "lon_q", "year", "value", what="grid")
     rows = space.select_boxes(grid.filter(F.col("variable") == cfg.variable), cfg.regions)
-    return with_degrees(temporal.yearly_mean(rows))
+    return temporal.yearly_mean(rows)
 
 
 def with_degrees(df: DataFrame) -> DataFrame:
@@ -34,8 +34,18 @@ def with_degrees(df: DataFrame) -> DataFrame:
     )
 
 
+def yearly_table(grid: DataFrame) -> DataFrame:
+    """The reduced grid that series and maps share, worth storing once.
+
+    It has the columns of a grid, so it can stand in for one in every analysis.
+    """
+    return with_degrees(temporal.yearly_mean(grid)).select(
+        *SERIES_KEYS, "lat_q", "lon_q", "year", "lat", "lon", "value"
+    )
+
+
 def _regional_means(anomalies: DataFrame, cfg: RunConfig, weighting: str) -> DataFrame:
-    placed = space.assign_regions(anomalies, cfg.regions)
+    placed = space.assign_regions(with_degrees(anomalies), cfg.regions)
     return space.field_mean(placed, weighting=weighting, spacing=cfg.spacing).select(*SERIES_COLUMNS)
 
 

@@ -13,6 +13,9 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
+    # Recording the Python call site of every column costs more than building
+    # the plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

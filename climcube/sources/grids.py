@@ -44,6 +44,22 @@ def write_grid(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     )
 
 
+def save_bucketed(df: DataFrame, table: str, buckets: int, keys: Sequence[str]) -> None:
+    """Save a table bucketed by ``keys``, one file per bucket.
+
+    Meant for yearly grids (``plans.series.yearly_table``): their keys are
+    unique, so the buckets are even.  Yearly means, rebasing and change maps
+    group by these keys and then need no shuffle of the grid at all.
+    """
+    (
+        df.repartition(buckets, *keys)
+        .write.mode("overwrite")
+        .bucketBy(buckets, *keys)
+        .sortBy(*keys)
+        .saveAsTable(table)
+    )
+
+
 def canonical_grid(raw: DataFrame, lon_min: float = -180.0) -> DataFrame:
     """Bring a decoded table to the ``GRID`` columns, once, at ingest.
 
@@ -60,11 +76,11 @@ def canonical_grid(raw: DataFrame, lon_min: float = -180.0) -> DataFrame:
             "lon_q": geometry.cell_key(lon),
         }
     )
-    fields = schema.struct_type(schema.GRID)
-    return clean.select(
+    have = set(clean.columns)
+    return clean.selectExpr(
         *[
-            (F.col(f.name) if f.name in clean.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in fields
+            f"CAST({f.name if f.name in have else 'NULL'} AS {f.dataType.simpleString()}) AS {f.name}"
+            for f in schema.struct_type(schema.GRID)
         ]
     )
 

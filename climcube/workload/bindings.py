@@ -32,8 +32,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _pick(options: tuple[str, ...], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(o) for o in options]), (index + 1).cast("int"))
+def _pick(options: tuple[str, ...], index: str) -> Column:
+    listed = ", ".join(f"'{o}'" for o in options)
+    return F.expr(f"element_at(array({listed}), CAST({index} % {len(options)} + 1 AS INT))")
 
 
 def _flags() -> Column:
@@ -41,26 +42,29 @@ def _flags() -> Column:
 
 
 def _model() -> Column:
-    return _pick(BOUND_MODELS, F.col("l_suppkey") % len(BOUND_MODELS))
+    return _pick(BOUND_MODELS, "l_suppkey")
 
 
 def _experiment() -> Column:
-    by_flag = F.create_map(*[F.lit(x) for pair in FLAG_EXPERIMENTS.items() for x in pair])
-    no_history = (F.col("l_suppkey") % len(BOUND_MODELS) == NO_HISTORY) & (_flags() == "AF")
-    return F.when(no_history, "hist-aer").otherwise(F.element_at(by_flag, _flags()))
+    """By the two flags of a line item; NULL marks an observation."""
+    cases = " ".join(f"WHEN '{flags}' THEN '{name}'" for flags, name in FLAG_EXPERIMENTS.items())
+    return F.expr(
+        f"""CASE WHEN l_suppkey % {len(BOUND_MODELS)} = {NO_HISTORY}
+                  AND l_returnflag = 'A' AND l_linestatus = 'F' THEN 'hist-aer'
+             ELSE CASE l_returnflag || l_linestatus {cases} END END"""
+    )
 
 
 def _cell() -> dict[str, Column]:
-    part = F.col("l_partkey")
     return {
-        "lat": (part % 12) * 15 - F.lit(82.5),
-        "lon": (F.floor(part / 12) % 12) * 30 + F.lit(15.0),
+        "lat": F.expr("CAST((l_partkey % 12) * 15 - 82.5D AS DOUBLE)"),
+        "lon": F.expr("CAST((l_partkey DIV 12 % 12) * 30 + 15 AS DOUBLE)"),
     }
 
 
 def _raw_value(variable: str) -> Column:
     """Temperature as it is; precipitation as a flux in kg/m²/s."""
-    return F.col("l_quantity") if variable == "tas" else F.col("l_discount") * 6 / 86400
+    return F.expr("l_quantity" if variable == "tas" else "l_discount * 6 / 86400")
 
 
 def _lineitem_grid(spark, sf_dir, variable, is_observation, source, model, experiment) -> DataFrame:
@@ -121,7 +125,7 @@ def station_climatology(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _file_name() -> Column:
     version = F.when(F.col("l_tax") > 0.04, names.VERSION_TAG).otherwise("")
     return F.concat(
-        _pick(FILE_VARIABLES, F.col("l_linenumber") % len(FILE_VARIABLES)),
+        _pick(FILE_VARIABLES, "l_linenumber"),
         F.lit("_day_"), _model(), F.lit("_"), F.coalesce(_experiment(), F.lit("obs")),
         F.lit("_r"), (F.col("l_orderkey") % 100 + 1).cast("string"), F.lit("i1p1f1_gn_"),
         F.year("l_shipdate").cast("string"), version, F.lit(".nc"),
@@ -202,24 +206,22 @@ def document_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fetched.select(F.col("doc_id").cast("string").alias("file_name"), "actual_md5")
 
 
-def _triangle(key: str) -> Column:
+def _triangle() -> Column:
     """A triangle on the globe per customer, with its own width and height."""
-    k = F.col(key)
-    x = ((k % 34) * 10 - 180).cast("double")
-    y = ((F.floor(k / 34) % 16) * 10 - 85).cast("double")
-    width = (k % 7 + 3).cast("double")
-    height = (k % 5 + 2).cast("double")
-
-    def point(px, py):
-        return F.struct(px.alias("x"), py.alias("y"))
-
-    return F.array(point(x, y), point(x + width, y), point(x, y + height))
+    x = "CAST((c_custkey % 34) * 10 - 180 AS DOUBLE)"
+    y = "CAST((c_custkey DIV 34 % 16) * 10 - 85 AS DOUBLE)"
+    corners = [
+        (x, y),
+        (f"{x} + c_custkey % 7 + 3", y),
+        (x, f"{y} + c_custkey % 5 + 2"),
+    ]
+    return F.expr("array(" + ", ".join(f"struct({cx} AS x, {cy} AS y)" for cx, cy in corners) + ")")
 
 
 def customer_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One country with one ring per customer."""
     return table(spark, sf_dir, "customer").select(
-        F.col("c_name").alias("name"), F.lit(0).alias("ring_id"), _triangle("c_custkey").alias("ring")
+        F.col("c_name").alias("name"), F.lit(0).alias("ring_id"), _triangle().alias("ring")
     )
 
 
@@ -228,7 +230,7 @@ def nation_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
     rings = table(spark, sf_dir, "customer").select(
         F.col("c_nationkey").alias("n_nationkey"),
         F.col("c_custkey").cast("int").alias("ring_id"),
-        _triangle("c_custkey").alias("ring"),
+        _triangle().alias("ring"),
     )
     nation = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("name"))
     return rings.join(nation, "n_nationkey").select("name", "ring_id", "ring")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from climcube.config import RunConfig
 from climcube.operators import catalog, temporal
 from climcube.plans import maps, series
+from climcube.schema import BASELINE_KEYS
 from climcube.sources import grids
 from climcube.workload.queries import registry
 
@@ -71,3 +72,15 @@ def test_contents_do_not_travel(spark, tmp_path):
     exchanges = [line for line in plan.splitlines() if "Exchange" in line]
     assert exchanges and not any("content" in line for line in exchanges)
     assert "content" not in plan_of(manifest.list_files(spark, str(tmp_path))).split("ReadSchema")[-1]
+
+
+def test_a_bucketed_yearly_table_is_not_shuffled(spark, stored):
+    yearly = series.yearly_table(stored)
+    grids.save_bucketed(yearly, "yearly_buckets", 4, BASELINE_KEYS)
+    table = spark.table("yearly_buckets")
+    cfg = RunConfig()
+    spread = plan_of(series.model_series(table, cfg))
+    assert spread.count("Exchange") == 1  # the spatial mean only
+    change = plan_of(maps.change_map(table, cfg))
+    assert change.count("Exchange") == 1  # the mean over models only
+    assert table.count() == yearly.count()
