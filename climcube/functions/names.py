@@ -6,8 +6,9 @@ with an optional ``_v1.2`` and an optional ``_yearmean`` before ``.nc``.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -85,18 +86,18 @@ def is_yearmean(name: Column) -> Column:
 def contains_any(c: Column, needles: Sequence[str]) -> Column:
     """True when ``c`` contains one of ``needles`` as a substring.
 
-    One pattern instead of one test per needle: ``c`` may be a long expression,
-    and a filter pushed below its projection repeats it for every reference.
+    Apply it to a stored column: a filter is pushed below its projection and
+    would repeat a computed one for every needle.
     """
-    return c.rlike("|".join(re.escape(n) for n in needles))
+    return reduce(or_, [c.contains(n) for n in needles])
 
 
 def wanted_variable(name: Column) -> Column:
-    """Mean temperature (but not its daily extremes) or precipitation."""
-    mean_temperature = (
-        name.contains("tas") & ~name.contains("tasmin") & ~name.contains("tasmax")
-    )
-    return mean_temperature | name.contains("pr")
+    """Mean temperature (but not its daily extremes) or precipitation.
+
+    One pattern, so that a computed name is evaluated once.
+    """
+    return name.rlike("(?s)^(?:.*pr|(?!.*tasm(?:in|ax)).*tas)")
 
 
 def series_label(*parts: Column) -> Column:

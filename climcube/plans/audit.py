@@ -24,7 +24,7 @@ def audit_acquisition(
     ``skip_reason`` says whether a result exists already; ``status`` is the
     digest check of a local copy (ok, mismatch or missing).
     """
-    wanted = catalog.keep_models_in_uri(strip_fields(manifest), models)
+    wanted = strip_fields(catalog.keep_models_in_uri(manifest, models))
     named = wanted.withColumn("file_name", names.uri_file_name(F.col("uri")))
     chosen = catalog.pick_version(catalog.keep_wanted_variables(named))
     checked = catalog.verify_digests(catalog.skip_existing(chosen, existing), digests)

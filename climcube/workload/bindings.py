@@ -158,14 +158,13 @@ def file_states(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name = F.col("file_name")
-    uri = F.concat(
-        F.lit(" https://data.example.org/files/"), names.name_token(name, "model"),
-        F.lit("/"), name, F.lit("?x=1\t"),
-    )
-    return file_names(spark, sf_dir).select("file_name").distinct().select(
-        F.concat(F.lit("\t"), F.md5(name), F.lit(" ")).alias("md5"), uri.alias("uri")
+    """Padded digests and URIs, as a careless index file has them."""
+    uri = F.expr(
+        "concat(' https://data.example.org/files/', split_part(file_name, '_', 3), '/', file_name, '?x=1\t')"
     )
+    md5 = F.concat(F.lit("\t"), F.md5("file_name"), F.lit(" "))
+    listed = file_names(spark, sf_dir).select("file_name").distinct()
+    return listed.select(md5.alias("md5"), F.explode(F.array(uri)).alias("uri"))
 
 
 def existing_files(spark: SparkSession, sf_dir: str) -> DataFrame:
