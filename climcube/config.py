@@ -21,6 +21,15 @@ class Region:
     def spans_globe(self) -> bool:
         return self.lon_max - self.lon_min >= 360.0
 
+    def covers(self, other: Region) -> bool:
+        """Whether every cell of ``other`` lies in this box, in any longitude convention."""
+        return (
+            self.lat_min <= other.lat_min
+            and other.lat_max <= self.lat_max
+            and self.lon_min <= other.lon_min
+            and other.lon_max <= self.lon_max
+        )
+
 
 # The priority list of climate models.
 MODELS = (

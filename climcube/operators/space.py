@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,11 +33,24 @@ def select_box(grid: DataFrame, box: Region, wrap: bool = True) -> DataFrame:
 
 
 def select_boxes(grid: DataFrame, boxes: Sequence[Region], wrap: bool = True) -> DataFrame:
-    """Cells in at least one box; one pushable filter over the stored columns."""
-    test = F.lit(False)
-    for box in boxes:
-        test = test | geometry.in_box(F.col("lat"), F.col("lon"), box, wrap)
-    return grid.filter(test)
+    """Cells in at least one box; one pushable filter over the stored columns.
+
+    A box inside another one adds nothing to the filter and is left out of it.
+    """
+    lat, lon = F.col("lat"), F.col("lon")
+    return grid.filter(reduce(or_, [geometry.in_box(lat, lon, b, wrap) for b in outer_boxes(boxes)]))
+
+
+def outer_boxes(boxes: Sequence[Region]) -> list[Region]:
+    """The boxes that no other box of the list covers."""
+    kept: list[Region] = []
+    widest_first = sorted(
+        boxes, key=lambda b: (b.lat_max - b.lat_min) * (b.lon_max - b.lon_min), reverse=True
+    )
+    for box in widest_first:
+        if not any(other.covers(box) for other in kept):
+            kept.append(box)
+    return kept
 
 
 def assign_regions(df: DataFrame, boxes: Sequence[Region], wrap: bool = True) -> DataFrame:

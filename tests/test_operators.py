@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from climcube.config import Region, RunConfig
+from climcube.config import REGIONS, Region, RunConfig
 from climcube.operators import anomaly, catalog, ensemble, quality, space, temporal
 from climcube.plans import series
 from climcube.schema import MissingColumnsError, require_columns
@@ -213,3 +213,13 @@ def test_run_config_checks_itself():
         RunConfig(baseline=(2010, 1981))
     with pytest.raises(ValueError):
         RunConfig(running_years=0)
+
+
+def test_covered_boxes_are_left_out_of_the_filter(spark):
+    every = list(REGIONS.values())
+    assert [b.name for b in space.outer_boxes(every)] == ["global"]
+    some = [REGIONS["germany"], REGIONS["conus"], REGIONS["europe"]]
+    assert {b.name for b in space.outer_boxes(some)} == {"europe", "conus"}
+    cells = spark.createDataFrame([(50.0, 10.0), (30.0, 260.0), (60.0, 40.0), (0.0, 0.0)], "lat DOUBLE, lon DOUBLE")
+    assert space.select_boxes(cells, some).count() == 3
+    assert space.select_boxes(cells, every).count() == 4
