@@ -42,14 +42,14 @@ def _flags() -> Column:
 
 
 def _model() -> Column:
-    return _pick(BOUND_MODELS, "l_suppkey")
+    return _pick(BOUND_MODELS, "l_suppkey * 7")
 
 
 def _experiment() -> Column:
     """By the two flags of a line item; NULL marks an observation."""
     cases = " ".join(f"WHEN '{flags}' THEN '{name}'" for flags, name in FLAG_EXPERIMENTS.items())
     return F.expr(
-        f"""CASE WHEN l_suppkey % {len(BOUND_MODELS)} = {NO_HISTORY}
+        f"""CASE WHEN l_suppkey * 7 % {len(BOUND_MODELS)} = {NO_HISTORY}
                   AND l_returnflag = 'A' AND l_linestatus = 'F' THEN 'hist-aer'
              ELSE CASE l_returnflag || l_linestatus {cases} END END"""
     )
@@ -208,7 +208,7 @@ def document_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _triangle() -> Column:
     """A triangle on the globe per customer, with its own width and height."""
     x = "CAST((c_custkey % 34) * 10 - 180 AS DOUBLE)"
-    y = "CAST((c_custkey DIV 34 % 16) * 10 - 85 AS DOUBLE)"
+    y = "CAST((c_custkey * 5 % 16) * 10 - 85 AS DOUBLE)"
     corners = [
         (x, y),
         (f"{x} + c_custkey % 7 + 3", y),

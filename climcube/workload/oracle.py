@@ -25,9 +25,9 @@ def _r(expression: str, name: str) -> str:
 
 
 _MODEL_LIST = _list([*MODELS, "EC-Earth3-Veg-LR", "NorESM2-LM"])
-_MODEL = f"{_MODEL_LIST}[CAST(1 + l_suppkey % 12 AS INTEGER)]"
+_MODEL = f"{_MODEL_LIST}[CAST(1 + l_suppkey * 7 % 12 AS INTEGER)]"
 _EXPERIMENT = """CASE l_returnflag || l_linestatus
-    WHEN 'AF' THEN CASE WHEN l_suppkey % 12 = 11 THEN 'hist-aer' ELSE 'historical' END
+    WHEN 'AF' THEN CASE WHEN l_suppkey * 7 % 12 = 11 THEN 'hist-aer' ELSE 'historical' END
     WHEN 'AO' THEN 'ssp126' WHEN 'NF' THEN 'ssp245' WHEN 'NO' THEN 'ssp370'
     WHEN 'RF' THEN 'ssp585' END"""
 _LAT = "CAST((l_partkey % 12) * 15 - 82.5 AS DOUBLE)"
@@ -223,7 +223,7 @@ FROM {table} GROUP BY ROLLUP (status, experiment, model)"""
 # --- countries -----------------------------------------------------------------
 
 _X = "CAST((c_custkey % 34) * 10 - 180 AS DOUBLE)"
-_Y = "CAST(((c_custkey // 34) % 16) * 10 - 85 AS DOUBLE)"
+_Y = "CAST((c_custkey * 5 % 16) * 10 - 85 AS DOUBLE)"
 _W = "CAST(c_custkey % 7 + 3 AS DOUBLE)"
 _H = "CAST(c_custkey % 5 + 2 AS DOUBLE)"
 
