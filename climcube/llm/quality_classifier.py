@@ -2,7 +2,7 @@
 
 Every token of the vocabulary has a fixed sparse ternary index vector.  Its word vector is the sum of
 the index vectors of its neighbours over all documents: tasks add up their own documents and one
-aggregation adds up the tasks.  A document is the mean of its words' vectors, a small numpy
+aggregation adds up the tasks.  A document is the mean and the deviation of its words' vectors, a small numpy
 network turns that into a logit, and a temperature fitted on labelled documents outside the
 training calibrates the probability.
 
@@ -164,13 +164,19 @@ def word_vectors(docs: DataFrame, vocabulary: list[str], cfg: QualityConfig) ->
 
 
 def pool(ids: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """Mean vector of a document."""
+    """Mean and standard deviation of a document's vectors in each dimension.
+
+    The second half tells varied texts from those that repeat a few words.
+    """
     if not len(ids):
-        return np.zeros(vectors.shape[1])
-    total = np.zeros(vectors.shape[1])
+        return np.zeros(2 * vectors.shape[1])
+    total, squares = np.zeros(vectors.shape[1]), np.zeros(vectors.shape[1])
     for at in range(0, len(ids), BLOCK):
-        total += vectors[ids[at : at + BLOCK]].sum(axis=0)
-    return total / len(ids)
+        some = vectors[ids[at : at + BLOCK]]
+        total += some.sum(axis=0)
+        squares += np.einsum("ij,ij->j", some, some)
+    mean = total / len(ids)
+    return np.concatenate((mean, np.sqrt(np.maximum(0, squares / len(ids) - mean**2))))
 
 
 @dataclass(frozen=True)
@@ -241,13 +247,14 @@ def fit(docs: DataFrame, labels: DataFrame, cfg: QualityConfig = QualityConfig()
     vocabulary = vocabulary_of(sample, cfg)
     vectors = word_vectors(docs, vocabulary, cfg)
     rows = _pooled(sample, vocabulary, vectors).collect()  # at most cfg.sample_rows
-    x = np.array([r.vector for r in rows]).reshape(len(rows), cfg.dimensions)
+    width = 2 * cfg.dimensions
+    x = np.array([r.vector for r in rows]).reshape(len(rows), width)
     y = np.array([r.label for r in rows])
     held = np.array([r.fold == cfg.calibration_fold for r in rows], bool)
     if len(set(y[~held])) < 2:
         share = (y.sum() + 0.5) / (len(y) + 1)
-        flat = (np.zeros((cfg.dimensions, cfg.hidden)), np.zeros(cfg.hidden), np.zeros(cfg.hidden), float(np.log(share / (1 - share))))
-        return QualityModel(vocabulary, vectors, np.zeros(cfg.dimensions), np.ones(cfg.dimensions), flat)
+        flat = (np.zeros((width, cfg.hidden)), np.zeros(cfg.hidden), np.zeros(cfg.hidden), float(np.log(share / (1 - share))))
+        return QualityModel(vocabulary, vectors, np.zeros(width), np.ones(width), flat)
     centre, scale = x[~held].mean(axis=0), x[~held].std(axis=0) + 1e-6
     model = QualityModel(vocabulary, vectors, centre, scale, train((x[~held] - centre) / scale, y[~held], cfg))
     return QualityModel(vocabulary, vectors, centre, scale, model.layers, temperature_of(model.logits(x[held]), y[held]))
