@@ -8,7 +8,18 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, packing, quality_classifier, quality_rules, secrets, simhash, token_counts, toxicity
+from . import (
+    decontamination,
+    html_wrappers,
+    packing,
+    quality_classifier,
+    quality_rules,
+    secrets,
+    simhash,
+    token_counts,
+    toxicity,
+    urls,
+)
 from .common import table
 
 
@@ -31,10 +42,18 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op3_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_wrappers.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
@@ -57,7 +76,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        f.__name__: f
-        for f in (op1_secret_scan, op2_toxicity, op4_token_counts, op6_packing, op7_simhash, op8_decontamination, op9_quality_classifier, op10_quality_rules)
-    }
+    found = (
+        op1_secret_scan, op2_toxicity, op3_html_wrappers, op4_token_counts, op5_url_filter, op6_packing,
+        op7_simhash, op8_decontamination, op9_quality_classifier, op10_quality_rules,
+    )
+    return {f.__name__: f for f in found}
