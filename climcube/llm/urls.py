@@ -178,14 +178,19 @@ def _suffix(host: Column) -> Column:
     return F.substring_index(host, ".", -1)
 
 
-def suffix_shares(ruled: DataFrame, cfg: TreeConfig) -> tuple[DataFrame, float]:
-    """suffix, share (smoothed share of blocked labels), weight (log of their number) outside fold 0; the common share."""
+def suffix_shares(ruled: DataFrame, cfg: TreeConfig) -> DataFrame:
+    """suffix, share (of blocked labels, both verdicts weighing the same in sum), weight (log of their number).
+
+    Shares are drawn towards one half by ``cfg.prior`` labels; labels of fold 0 do not count.
+    """
     known = ruled.where(F.col("found").isNotNull() & (fold(F.col("page_id")) != 0))
     blocked = F.sum((F.col("found.verdict") == "block").cast("int"))
-    counts = known.groupBy(_suffix(F.col("host")).alias("suffix")).agg(F.count(F.lit(1)).alias("n"), blocked.alias("bad"))
-    common = counts.agg((F.sum("bad") / F.sum("n")).alias("s")).first().s or 0.0
-    share = (F.col("bad") + cfg.prior * common) / (F.col("n") + cfg.prior)
-    return counts.select("suffix", share.alias("share"), F.log1p("n").alias("weight")), common
+    counts = cut(known.groupBy(_suffix(F.col("host")).alias("suffix")).agg(F.count(F.lit(1)).alias("n"), blocked.alias("bad")))
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")).first()
+    bad = F.col("bad") * (0.5 * total.n / max(1, total.bad))
+    good = (F.col("n") - F.col("bad")) * (0.5 * total.n / max(1, total.n - total.bad))
+    share = (bad + 0.5 * cfg.prior) / (bad + good + cfg.prior)
+    return counts.select("suffix", share.alias("share"), F.log1p("n").alias("weight"))
 
 
 def judge(pages: DataFrame, rules: Sequence[UrlRule] = RULES, cfg: TreeConfig = TreeConfig()) -> DataFrame:
@@ -193,12 +198,11 @@ def judge(pages: DataFrame, rules: Sequence[UrlRule] = RULES, cfg: TreeConfig =
     small_batches(pages.sparkSession, 4096)
     ruled = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     ruled = ruled.withColumn("found", rule_of(F.col("host"), F.col("path"), rules))
-    shares, common = suffix_shares(ruled, cfg)
-    shares = cut(shares)
+    shares = suffix_shares(ruled, cfg)
     full = (
         ruled.withColumn("suffix", _suffix(F.col("host")))
         .join(broadcast_if_small(shares, 100_000), "suffix", "left")
-        .withColumn("share", F.coalesce("share", F.lit(float(common))))
+        .withColumn("share", F.coalesce("share", F.lit(0.5)))
         .withColumn("weight", F.coalesce("weight", F.lit(0.0)))
     )
     sample = full.where(F.col("found").isNotNull() & (fold(F.col("page_id")) != 0))
