@@ -216,10 +216,13 @@ def verdicts(df: DataFrame, certified: DataFrame, cfg: RuleConfig = RuleConfig()
     broken = F.filter(
         F.array(*[F.when(values[r] > F.col(f"_cut_{r}"), F.lit(r)) for r in rules]), lambda x: x.isNotNull()
     )
+    # One test of both: a separate one on the base rule would be pushed below the join, and the
+    # optimiser would copy every expression the counts are made of into that filter.
+    reasons = F.concat(F.when(base_failed(), F.array(F.lit("base"))).otherwise(F.array().cast("array<string>")), F.col("rejected_by"))
     return (
         df.withColumn("base_failed", base_failed())
         .withColumn("rejected_by", broken)
-        .withColumn("kept", ~F.col("base_failed") & (F.size("rejected_by") == 0))
+        .withColumn("kept", F.size(reasons) == 0)
         .drop("_stratum", *[f"_cut_{r}" for r in rules])
     )
 
