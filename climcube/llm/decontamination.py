@@ -99,7 +99,8 @@ def _matches(docs: DataFrame, shingles: DataFrame) -> DataFrame:
     first = F.coalesce(F.col("_pos"), F.lit(0)) == 0
     at = F.coalesce(F.col("_pos"), F.lit(0))
     if not sizes:
-        return df.where(first).select("doc", "n_words", F.lit(-1).alias("at"), F.lit("").alias("words"), F.lit(0).alias("k"))
+        rows = df.where(first).select("doc", "n_words", F.lit(-1).alias("at"), F.lit("").alias("words"), F.lit(0).alias("k"))
+        return rows.distinct()
     if len(sizes) == 1:
         df = df.select("doc", "_words", "n_words", at.alias("at"), first.alias("first"),
                        F.lit(sizes[0]).alias("k"), _key(F.col("_words"), at, sizes[0]).alias("key"))

@@ -24,7 +24,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_RUN, SPACES, cut, fold, packed, text_or_empty, unpacked
+from .common import SPACE_RUN, SPACES, broadcast_if_small, cut, fold, packed, text_or_empty, unpacked
 
 SYMBOLS = "#*$%&|<>"
 FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -150,19 +150,24 @@ def binomial_cdf(n: Column, k: Column, p: float) -> Column:
     )
 
 
-def certify(features: DataFrame, labels: DataFrame, cfg: RuleConfig = RuleConfig()) -> DataFrame:
-    """One row per stratum and rule with a certified cutoff: stratum, rule, cutoff, n_good, n_rejected.
-
-    ``features`` has doc_id, FEATURES and _n_lines.  Only good documents that pass the base rule
-    and lie outside fold 0 are evidence.
-    """
-    good = (
+def good_documents(labels: DataFrame) -> DataFrame:
+    """Identifiers of the documents outside fold 0 that are labelled good, and never bad."""
+    return (
         labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != 0))
         .groupBy("doc_id")
         .agg(F.min("quality").alias("_low"), F.max("quality").alias("_high"))
         .where((F.col("_low") == 1) & (F.col("_high") == 1))
         .select("doc_id")
     )
+
+
+def certify(features: DataFrame, labels: DataFrame, cfg: RuleConfig = RuleConfig()) -> DataFrame:
+    """One row per stratum and rule with a certified cutoff: stratum, rule, cutoff, n_good, n_rejected.
+
+    ``features`` has doc_id, FEATURES and _n_lines.  Only good documents that pass the base rule
+    and lie outside fold 0 are evidence.
+    """
+    good = good_documents(labels)
     values = ratios()
     counts = [F.count(F.lit(1)).alias("n")]
     for rule, cutoffs in cfg.cutoffs.items():
@@ -247,10 +252,10 @@ def keep_good(docs: DataFrame, labels: DataFrame, cfg: RuleConfig = RuleConfig()
     Counts for the certification are computed on labelled documents only, and those for the
     verdicts where the text lies, so that no text is shuffled.
     """
-    features = add_features(docs.select("doc_id", text_or_empty().alias("_text"))).select(
-        "doc_id", *FEATURES, "_n_lines"
+    evidence = docs.select("doc_id", text_or_empty().alias("_text")).join(
+        broadcast_if_small(good_documents(labels), 300_000), "doc_id", "left_semi"
     )
-    certified = cut(certify(features, labels, cfg))
+    certified = cut(certify(cut(add_features(evidence).select("doc_id", *FEATURES, "_n_lines")), labels, cfg))
     rows = packed(docs, ["text"]).select("row", text_or_empty().alias("_text"))
     judged = verdicts(add_features(rows), certified, cfg)
     return unpacked(judged.where("kept"), docs.columns)

@@ -38,7 +38,7 @@ class Memo(dict):
         self.encode, self.limit = encode, limit
 
     def of(self, parts: list[str]) -> list:
-        missing = list(set(parts) - self.keys())
+        missing = [x for x in set(parts) if x not in self]
         if not missing:
             return list(map(self.__getitem__, parts))
         new = dict(zip(missing, self.encode(missing), strict=True))
