@@ -16,6 +16,7 @@ documents of their own; empty tables give no pieces; other columns of the input
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -37,25 +38,47 @@ TASK_SHIFT = 40
 
 
 class Encoder:
-    """Identifiers of a text as little-endian unsigned 32-bit integers."""
+    """Identifiers of texts as little-endian unsigned 32-bit integers."""
+
+    #: Letters, then punctuation without an apostrophe: such a part is always split between the two.
+    TAIL = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]+)")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.first, self.later = Memo(self._encode, 50_000), Memo(lambda xs: self._encode([" " + x for x in xs]))
+        self.first, self.tails = Memo(self._encode, 50_000), Memo(self._encode, 50_000)
+        self.plain, self.later = Memo(self._spaced, 800_000), Memo(self._later, 400_000)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
+    def _spaced(self, parts: list[str]) -> list[bytes]:
+        return self._encode([" " + x for x in parts])
+
+    def _later(self, parts: list[str]) -> list[bytes]:
+        """Parts after a space; a word is remembered without the punctuation behind it."""
+        cut = [self.TAIL.fullmatch(x) for x in parts]
+        words = self.plain.of([m[1] if m else x for x, m in zip(parts, cut, strict=True)])
+        tails = iter(self.tails.of([m[2] for m in cut if m]))
+        return [w + next(tails) if m else w for w, m in zip(words, cut, strict=True)]
+
+    def many(self, texts: list[str]) -> list[bytes]:
+        """Whole texts, through one look-up."""
+        parts = [parts_of(t) for t in texts]
+        heads = self.first.of([p[0] for p in parts])
+        rest = self.later.of([x for p in parts for x in p[1:]])
+        out, at = [], 0
+        for head, p in zip(heads, parts, strict=True):
+            out.append(head + b"".join(rest[at : at + len(p) - 1]))
+            at += len(p) - 1
+        return out
+
     def slices(self, text: str) -> Iterator[bytes]:
+        """The same piece by piece, for a very long text."""
         for i, piece in enumerate(slices_of(text, SLICE)):
-            if i == 0:
-                head, *rest = parts_of(piece)
-                yield b"".join(self.first.of([head]) + self.later.of(rest)) if piece else b""
-            else:
-                yield b"".join(self.later.of(parts_of(piece[1:])))
+            yield self.many([piece])[0] if i == 0 else b"".join(self.later.of(parts_of(piece[1:])))
 
     def encode(self, text: str) -> bytes:
         return b"".join(self.slices(text))
@@ -151,9 +174,11 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, block:
         arrow_kind = pa.null()
         for batch in batches:
             arrow_kind = batch.column("doc_id").type
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("_text"), strict=True):
-                full, start, ids = [], 0, b""
-                for more in encoder.slices(text.as_py()):
+            texts = batch.column("_text").to_pylist()
+            short = iter(encoder.many([t for t in texts if len(t) <= SLICE]))
+            for doc, text in zip(batch.column("doc_id").to_pylist(), texts, strict=True):
+                full, ids = [], b""
+                for more in [next(short)] if len(text) <= SLICE else encoder.slices(text):
                     ids += more
                     whole = len(ids) // 4 // capacity
                     for i in range(whole):

@@ -79,12 +79,19 @@ class Counter:
             here = there
         return total + sum(begin + x >= since for x in here)
 
-    def count(self, text: str) -> int:
-        if len(text) > self.chunk:
-            return self.spliced(text)
+    def many(self, texts: list[str]) -> list[int]:
+        """Counts of whole texts; those of a single chunk go through one look-up."""
         if not self.by_words:
-            return len(self.model.encode(text))
-        return sum(self.memo.of(parts_of(text.replace(SPACE, " "))))
+            return [self.spliced(t) for t in texts]
+        parts = [parts_of(t.replace(SPACE, " ")) if len(t) <= self.chunk else [] for t in texts]
+        found, out, at = self.memo.of([x for p in parts for x in p]), [], 0
+        for text, p in zip(texts, parts, strict=True):
+            out.append(sum(found[at : at + len(p)]) if p else self.spliced(text))
+            at += len(p)
+        return out
+
+    def count(self, text: str) -> int:
+        return self.many([text])[0]
 
 
 def count_tokens(docs: DataFrame, model_path: str, limit: int = 4096) -> DataFrame:
@@ -97,7 +104,7 @@ def count_tokens(docs: DataFrame, model_path: str, limit: int = 4096) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(model_path)
         for batch in batches:
-            counts = pa.array([counter.count(x.as_py()) for x in batch.column("_text")], pa.int64())
+            counts = pa.array(counter.many(batch.column("_text").to_pylist()), pa.int64())
             columns = [batch.column("doc_id"), batch.column("n_bytes"), counts]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_bytes", "n_tokens"])
 

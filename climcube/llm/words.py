@@ -38,11 +38,11 @@ class Memo(dict):
         self.encode, self.limit = encode, limit
 
     def of(self, parts: list[str]) -> list:
-        missing = [x for x in set(parts) if x not in self]
-        if not missing:
-            return list(map(self.__getitem__, parts))
+        found = list(map(self.get, parts))
+        if None not in found:
+            return found
+        missing = list({x for x, value in zip(parts, found, strict=True) if value is None})
         new = dict(zip(missing, self.encode(missing), strict=True))
         if len(self) + len(new) <= self.limit:
             self.update(new)
-            return list(map(self.__getitem__, parts))
-        return [new[x] if x in new else self[x] for x in parts]
+        return [new[x] if value is None else value for x, value in zip(parts, found, strict=True)]

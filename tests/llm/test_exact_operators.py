@@ -288,7 +288,7 @@ def test_encoder_equals_the_library(real, monkeypatch):
     assert [encoder.encode(t) for t in texts] == whole
     monkeypatch.setattr(packing, "SLICE", 60)
     assert [encoder.encode(t) for t in texts] == whole
-    encoder.later.limit = encoder.first.limit = 0
+    encoder.later.limit = encoder.first.limit = encoder.plain.limit = encoder.tails.limit = 0
     assert [encoder.encode(t) for t in texts[:20]] == whole[:20]
 
 
