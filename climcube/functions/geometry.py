@@ -18,14 +18,22 @@ def cell_key(degrees: Column) -> Column:
     return F.round(degrees * KEY_SCALE).cast("int")
 
 
+def _reach(low: float, high: float) -> tuple[float, float]:
+    """A closed range widened by half a key, so that a cell on its edge is inside however it was computed."""
+    return low - 0.5 / KEY_SCALE, high + 0.5 / KEY_SCALE
+
+
 def cell_degrees(key: Column) -> Column:
     return key / F.lit(float(KEY_SCALE))
 
 
 def wrap_longitude(lon: Column, lon_min: Column | float) -> Column:
-    """Move a longitude into the branch ``[lon_min, lon_min + 360)``."""
-    first = lon_min if isinstance(lon_min, Column) else F.lit(float(lon_min))
-    return F.pmod(lon - first, F.lit(360.0)) + first
+    """Move a longitude into the branch ``[lon_min, lon_min + 360)``, at the resolution of the keys.
+
+    The turn is done on integers: on doubles 5.1 could become 5.099999999999994.
+    """
+    first = cell_key(lon_min if isinstance(lon_min, Column) else F.lit(float(lon_min)))
+    return cell_degrees(F.pmod(cell_key(lon) - first, F.lit(360 * KEY_SCALE)) + first)
 
 
 def in_box(lat: Column, lon: Column, box: Region, wrap: bool = True) -> Column:
@@ -34,16 +42,17 @@ def in_box(lat: Column, lon: Column, box: Region, wrap: bool = True) -> Column:
     The wrapped test is written as ranges over the *stored* longitude, one per
     turn of 360 degrees, because a range on a stored column reaches the Parquet
     scan while a computed longitude does not.  Stored longitudes may use any
-    convention within [-360, 360].
+    convention within [-360, 360].  Ranges reach half a key further than the
+    box, so a cell is inside exactly if its keys are.
     """
-    inside = lat.between(box.lat_min, box.lat_max)
+    inside = lat.between(*_reach(box.lat_min, box.lat_max))
     if not wrap:
-        return inside & lon.between(box.lon_min, box.lon_max)
+        return inside & lon.between(*_reach(box.lon_min, box.lon_max))
     if box.spans_globe:
         return inside & lon.isNotNull()
     turns = [k for k in range(-3, 4)
              if box.lon_min + 360.0 * k <= 360.0 and box.lon_max + 360.0 * k >= -360.0]
-    ranges = [lon.between(box.lon_min + 360.0 * k, box.lon_max + 360.0 * k) for k in turns]
+    ranges = [lon.between(*_reach(box.lon_min + 360.0 * k, box.lon_max + 360.0 * k)) for k in turns]
     return inside & reduce(lambda a, b: a | b, ranges)
 
 
@@ -51,7 +60,8 @@ def in_box_columns(lat: Column, lon: Column, lat_min: Column, lat_max: Column,
                    lon_min: Column, lon_max: Column) -> Column:
     """The wrapped box test when the bounds are columns."""
     around = lon_max - lon_min >= 360.0
-    return lat.between(lat_min, lat_max) & (around | (wrap_longitude(lon, lon_min) <= lon_max))
+    rows = cell_key(lat).between(cell_key(lat_min), cell_key(lat_max))
+    return rows & (around | (cell_key(wrap_longitude(lon, lon_min)) <= cell_key(lon_max)))
 
 
 def region_names(lat: Column, lon: Column, boxes: Sequence[Region], wrap: bool = True) -> Column:

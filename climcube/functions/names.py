@@ -27,8 +27,13 @@ def strip_whitespace(c: Column) -> Column:
 
 
 def uri_file_name(uri: Column) -> Column:
-    """Last segment of the path of a URI; NULL when the URI cannot be parsed."""
-    return base_name(F.try_parse_url(uri, F.lit("PATH")))
+    """Last segment of the path of a URI; empty when there is none.
+
+    The path is cut out by the generic syntax, so a URI with a brace or a blank
+    has a name, too, which a strict parser refuses.
+    """
+    path = F.regexp_extract(uri, r"(?s)^(?:[^:/?#]+:)?(?://[^/?#]*)?([^?#]*)", 1)
+    return base_name(path)
 
 
 def base_name(path: Column) -> Column:
@@ -59,13 +64,21 @@ def name_token(name: Column, token: str) -> Column:
 
 
 def version_base(name: Column) -> Column:
-    """Name up to the last ``_v1.2``, or without ``.nc`` when there is none."""
+    """Name up to the last ``_v1.2``, or without ``.nc`` when there is none.
+
+    The tag of a reduced file is no part of the base, with a version or without.
+    """
     tagged = F.regexp_extract(name, r"^(.*)_v1[.]2", 1)
     return F.when(F.contains(name, F.lit(VERSION_TAG)), tagged).otherwise(
-        F.regexp_replace(name, r"[.]nc$", "")
+        F.regexp_replace(name, r"(?:_yearmean)?[.]nc$", "")
     )
 
 
+def stem(name: Column) -> Column:
+    """What a raw file, its re-issued version and its yearly mean have in common."""
+    return F.regexp_replace(name, r"_v1[.]2|_yearmean|[.]nc", "")
+
+
 def version_of(name: Column) -> Column:
     """``v1.2`` for a re-issued file, else NULL."""
     return F.when(F.contains(name, F.lit(VERSION_TAG)), F.lit("v1.2"))

@@ -75,6 +75,19 @@ def rebase(
     return subtract(based.filter("_baseline_rows > 0").drop("_baseline_rows"))
 
 
+def series_without_baseline(
+    grid: DataFrame, first: int, last: int, experiment: str = HISTORICAL,
+    keys: Sequence[str] = ("variable", "model"),
+) -> DataFrame:
+    """The same as ``models_without_baseline`` from the grid itself, read once and without a climatology."""
+    in_baseline = (F.col("experiment") == experiment) & F.col("year").between(first, last)
+    found = grid.groupBy(*keys, "experiment").agg(F.bool_or(in_baseline).alias("_has"))
+    of_model = Window.partitionBy(*keys)
+    return found.withColumn("_has", F.bool_or("_has").over(of_model)).filter(
+        "NOT coalesce(_has, false)"
+    ).drop("_has")
+
+
 def models_without_baseline(
     grid: DataFrame, clim: DataFrame, keys: Sequence[str] = ("variable", "model")
 ) -> DataFrame:

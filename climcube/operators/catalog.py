@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,15 +41,16 @@ def keep_series(df: DataFrame, variable: str, experiments: Sequence[str]) -> Dat
 def pick_version(files: DataFrame, column: str = "file_name") -> DataFrame:
     """One file per base name, a re-issued version first.
 
+    Raw and reduced files of one base are different files, and one of each stays.
     ``row_number() = 1`` is trimmed per task before the shuffle.
     """
     name = F.col(column)
-    w = Window.partitionBy("_base").orderBy(names.version_of(name).desc_nulls_last(), name)
+    w = Window.partitionBy("_base", "_reduced").orderBy(names.version_of(name).desc_nulls_last(), name)
     return (
-        files.withColumn("_base", names.version_base(name))
+        files.withColumns({"_base": names.version_base(name), "_reduced": names.is_yearmean(name)})
         .withColumn("_rn", F.row_number().over(w))
         .filter("_rn = 1")
-        .drop("_base", "_rn")
+        .drop("_base", "_reduced", "_rn")
     )
 
 
@@ -58,20 +61,24 @@ def merge_order(
 
     The position is the number of files of earlier years plus the rank within
     the year.  Only the small table of counts per year is ordered per series;
-    a long list of files is never gathered into one group.
+    a long list of files is never gathered into one group.  Files without a
+    year, or without one of the keys, come last and are not lost.
     """
     keys = list(keys)
     per_year = files.groupBy(*keys, "year").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy(*keys).orderBy("year").rowsBetween(Window.unboundedPreceding, -1)
+    in_order = Window.partitionBy(*keys).orderBy(F.col("year").asc_nulls_last())
+    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    on = [*keys, "year"]
     offsets = per_year.select(
-        *keys, "year", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset")
+        *[F.col(k).alias(f"_of_{k}") for k in on], F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset")
     )
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in on])
     within = Window.partitionBy(*keys, "year").orderBy(column)
     return (
         files.withColumn("_rank", F.row_number().over(within))
-        .join(offsets, [*keys, "year"])
+        .join(offsets, same)
         .withColumn("position", F.col("_offset") + F.col("_rank"))
-        .drop("_offset", "_rank")
+        .drop("_offset", "_rank", *[f"_of_{k}" for k in on])
     )
 
 
@@ -88,22 +95,20 @@ def skip_existing(manifest: DataFrame, existing: DataFrame, column: str = "file_
     """Why a manifest row needs no work, or NULL when it does.
 
     Tested in this order: its yearly mean, its re-issued version, itself.
-    ``existing`` has one column ``file_name``; it is made distinct once and the
-    three joins reuse that exchange.
+    ``existing`` has one column ``file_name``.  Both sides meet once, on the stem
+    that the three names have in common; a stem has a handful of existing names,
+    and the exact names are compared there.
     """
     name = F.col(column)
-    candidates = {
-        "_c0": names.yearmean_name(name),
-        "_c1": names.version_name(name),
-        "_c2": name,
-    }
-    have = existing.select("file_name").distinct()
-    out = manifest.withColumns(candidates)
-    for i in range(len(SKIP_REASONS)):
-        side = have.select(F.col("file_name").alias(f"_c{i}"), F.lit(True).alias(f"_hit{i}"))
-        out = out.join(side, f"_c{i}", "left")
+    wanted = (names.yearmean_name(name), names.version_name(name), name)
+    have = (
+        existing.select("file_name", names.stem(F.col("file_name")).alias("_stem"))
+        .groupBy("_stem")
+        .agg(F.collect_set("file_name").alias("_have"))
+    )
+    out = manifest.withColumn("_stem", names.stem(name)).join(have, "_stem", "left")
     reason = F.coalesce(
-        *[F.when(F.col(f"_hit{i}"), F.lit(r)) for i, r in enumerate(SKIP_REASONS)]
+        *[F.when(F.array_contains("_have", n), F.lit(r)) for n, r in zip(wanted, SKIP_REASONS, strict=True)]
     )
     return out.select(*manifest.columns, reason.alias("skip_reason"))
 
@@ -116,16 +121,19 @@ def pending(manifest: DataFrame, existing: DataFrame, column: str = "file_name")
 def verify_digests(manifest: DataFrame, digests: DataFrame) -> DataFrame:
     """Compare expected and actual digests; a missing file is not verified.
 
-    ``digests`` carries 32 characters per file, so contents never travel.
+    ``digests`` carries 32 characters per file, so contents never travel.  Of
+    several files of one name (copies in several folders) one that matches is
+    enough; a manifest row stays one row.
     """
-    joined = manifest.join(digests.select("file_name", "actual_md5"), "file_name", "left")
-    verified = F.coalesce(F.col("actual_md5") == F.col("md5"), F.lit(False))
+    found = digests.groupBy("file_name").agg(F.collect_set("actual_md5").alias("_found"))
+    joined = manifest.join(found, "file_name", "left")
+    verified = F.coalesce(F.array_contains("_found", F.col("md5")), F.lit(False))
     status = (
-        F.when(F.col("actual_md5").isNull(), "missing")
+        F.when(F.coalesce(F.size("_found"), F.lit(0)) <= 0, "missing")
         .when(verified, "ok")
         .otherwise("mismatch")
     )
-    return joined.withColumns({"verified": verified, "status": status}).drop("actual_md5")
+    return joined.withColumns({"verified": verified, "status": status}).drop("_found")
 
 
 def status_summary(df: DataFrame, levels: Sequence[str] = ("status", "experiment", "model")) -> DataFrame:

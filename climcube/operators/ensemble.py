@@ -121,13 +121,57 @@ def dense_alignment(series: DataFrame, models: Sequence[str],
                     keys: Sequence[str] = (*GROUP, "year")) -> DataFrame:
     """Every listed model at every time of its group, missing where it has no value.
 
-    The models come from the configuration, so the dense frame is generated by
-    ``explode`` and not by a cross join.
+    One aggregation gathers the values of a group, as many as there are models,
+    and the list of models, which comes from the configuration, is unfolded
+    over it.  The series is computed once and joined with nothing.
     """
-    frame = series.select(*keys).distinct().select(
-        "*", F.explode(F.array(*[F.lit(m) for m in models])).alias("model")
+    wanted = F.col("model").isin(list(models))
+    groups = series.groupBy(*keys).agg(
+        F.collect_list(F.when(wanted, F.struct("model", "anomaly"))).alias("_found")
     )
-    return frame.join(series.select(*keys, "model", "anomaly"), [*keys, "model"], "left")
+    frame = groups.select("*", F.explode(F.array(*[F.lit(m) for m in models])).alias("_model"))
+    own = F.filter("_found", lambda x: x["model"] == F.col("_model"))
+    return frame.select(*keys, F.col("_model").alias("model"), F.explode_outer(own).alias("_own")).select(
+        *keys, "model", F.col("_own.anomaly").alias("anomaly")
+    )
+
+
+def availability(
+    yearly: DataFrame, baseline: tuple[int, int], future: tuple[int, int],
+    keys: Sequence[str] = ("variable", "model"),
+) -> DataFrame:
+    """Per model and experiment whether there is a baseline and how many cells the future has.
+
+    One aggregation over (model, experiment, cell) and a small one on top: the grid is
+    read once.  ``has_baseline`` holds for all experiments of a model.
+    """
+    is_base = (F.col("experiment") == HISTORICAL) & F.col("year").between(*baseline)
+    in_future = F.col("year").between(*future)
+    cells = yearly.groupBy(*keys, "experiment", *CELL).agg(
+        F.bool_or(is_base).alias("_base"), F.bool_or(in_future).alias("_future")
+    )
+    found = cells.groupBy(*keys, "experiment").agg(
+        F.bool_or("_base").alias("_base"), F.count_if("_future").alias("n_cells")
+    )
+    of_model = Window.partitionBy(*keys)
+    return found.withColumn("has_baseline", F.bool_or("_base").over(of_model)).drop("_base")
+
+
+def availability_gaps(
+    yearly: DataFrame, baseline: tuple[int, int], future: tuple[int, int], scenarios: Sequence[str],
+    keys: Sequence[str] = ("variable", "model"),
+) -> DataFrame:
+    """Model and scenario pairs that the analyses leave out, with the reason."""
+    found = availability(yearly, baseline, future, keys)
+    of_model = found.groupBy(*keys).agg(
+        F.bool_or("has_baseline").alias("_base"),
+        F.collect_set(F.when(F.col("n_cells") > 0, F.col("experiment"))).alias("_have"),
+    )
+    rows = of_model.select("*", F.explode(F.array(*[F.lit(s) for s in scenarios])).alias("experiment"))
+    reason = F.when(~F.col("_base"), "no baseline").when(
+        ~F.array_contains("_have", F.col("experiment")), "no scenario result"
+    )
+    return rows.select(*keys, "experiment", reason.alias("reason")).filter("reason IS NOT NULL")
 
 
 def available_models(per_model: DataFrame, clim: DataFrame,

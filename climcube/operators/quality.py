@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from climcube.schema import SERIES_KEYS
-from climcube.sources.calendar import expected_months
 
 
 def duplicate_report(df: DataFrame, keys: Sequence[str] = SERIES_KEYS, year: str = "year") -> DataFrame:
@@ -36,13 +35,33 @@ def series_profile(df: DataFrame, keys: Sequence[str], year: str = "year",
 def coverage_gaps(
     observed: DataFrame, keys: Sequence[str], first_year: int, last_year: int
 ) -> DataFrame:
-    """Expected months of each series that have no data.
+    """Expected months of each series that have no data."""
+    masks = month_masks(observed, keys, first_year, last_year)
+    missing = F.filter(
+        F.sequence(F.lit(1), F.lit(12)), lambda m: F.getbit(F.col("mask"), m - 1) == 0
+    )
+    return masks.select(*keys, "year", F.explode(missing).alias("month"))
+
 
-    ``observed`` is reduced to distinct months before anything is joined.
+def month_masks(observed: DataFrame, keys: Sequence[str], first_year: int, last_year: int) -> DataFrame:
+    """Months with data as bits of ``mask``, for every expected year of each series.
+
+    One scan and no join: months are united per year with map-side combine,
+    then the years of a series, as many as the span has, meet in one row.
     """
-    months = observed.select(*keys, "year", "month").distinct()
-    expected = expected_months(months.select(*keys).distinct(), first_year, last_year)
-    return expected.join(months, [*keys, "year", "month"], "left_anti")
+    per_year = observed.groupBy(*keys, "year").agg(
+        F.bit_or(F.expr("shiftleft(1, month - 1)")).alias("mask")
+    )
+    expected = F.when(
+        F.col("year").between(first_year, last_year), F.struct("year", F.coalesce("mask", F.lit(0)).alias("mask"))
+    )
+    years = per_year.groupBy(*keys).agg(F.map_from_entries(F.collect_list(expected)).alias("_years"))
+    spread = years.select(
+        *keys, "_years", F.explode(F.sequence(F.lit(first_year), F.lit(last_year))).alias("year")
+    )
+    return spread.select(
+        *keys, "year", F.coalesce(F.try_element_at("_years", F.col("year")), F.lit(0)).alias("mask")
+    )
 
 
 def missing_months(calendar: DataFrame, observed: DataFrame) -> DataFrame:

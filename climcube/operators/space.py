@@ -104,7 +104,8 @@ def region_cells(cells: DataFrame, regions: DataFrame) -> DataFrame:
 
 
 def _tile(degrees):
-    return F.floor(degrees / TILE_DEGREES).cast("int")
+    """Tile of a coordinate, from its key, so that a cell on a tile's edge has one tile."""
+    return F.floor(geometry.cell_key(degrees) / (TILE_DEGREES * geometry.KEY_SCALE)).cast("int")
 
 
 def field_mean(

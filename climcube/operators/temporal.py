@@ -23,7 +23,7 @@ def select_years(df: DataFrame, first: int, last: int, by: str = "year") -> Data
 
 def merge_time(first: DataFrame, *others: DataFrame) -> DataFrame:
     """Concatenate tables of one kind along time."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), others, first)
+    return reduce(lambda a, b: a.unionByName(b), others, first)
 
 
 def yearly_mean(grid: DataFrame, keys: Sequence[str] = (*SERIES_KEYS, *CELL)) -> DataFrame:

@@ -32,6 +32,26 @@ def audit_acquisition(
     return parse_names(checked.withColumn("status", final))
 
 
+def manifest_rejects(manifest: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Usable manifest rows, parsed, and the others with the first reason that applies.
+
+    Together they are as many rows as the manifest has.
+    """
+    rows = strip_fields(manifest)
+    parsed = parse_names(rows.withColumn("file_name", F.nullif(names.uri_file_name(F.col("uri")), F.lit(""))))
+    digest = F.coalesce(F.col("md5").rlike("^[0-9a-fA-F]{32}$"), F.lit(False))
+    return quality.split_rejects(
+        parsed,
+        [
+            ("no uri", F.coalesce(F.col("uri"), F.lit("")) == ""),
+            ("no file name", F.col("file_name").isNull()),
+            ("no digest", ~digest),
+            ("no model in name", F.coalesce(F.col("model"), F.lit("")) == ""),
+            ("no year in name", F.col("year").isNull()),
+        ],
+    )
+
+
 def acquisition_status(
     manifest: DataFrame,
     existing: DataFrame,
@@ -46,5 +66,6 @@ def audit_coverage(
     observed: DataFrame, keys: Sequence[str], first_year: int, last_year: int
 ) -> DataFrame:
     """Number of missing months per series and year (only years with a gap)."""
-    gaps = quality.coverage_gaps(observed, keys, first_year, last_year)
-    return gaps.groupBy(*keys, "year").agg(F.count(F.lit(1)).alias("n_missing"))
+    masks = quality.month_masks(observed, keys, first_year, last_year)
+    missing = (F.lit(12) - F.bit_count("mask")).cast("bigint")
+    return masks.select(*keys, "year", missing.alias("n_missing")).filter("n_missing > 0")

@@ -32,12 +32,13 @@ def run(
     """Compute what is not stored yet and return all three results.
 
     ``inputs`` identifies the input tables (paths or versions).  Together with
-    the configuration it names the stored stages, so neither new data nor a
-    changed setting ever meets an old result.  The yearly grid is the expensive
+    the configuration and the tables that are given it names the stored stages,
+    so neither new data nor a changed setting ever meets an old result.  The yearly grid is the expensive
     stage; series and maps of every region and period share it.
     """
     source = dict(inputs)
-    whole = {"inputs": source, "config": cfg}
+    given = [t is not None for t in (reanalysis, stations, station_climatology)]
+    whole = {"inputs": source, "config": cfg, "given": given}
 
     yearly = store.materialize(
         "yearly",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from climcube.config import HISTORICAL, REANALYSIS, STATIONS, RunConfig
 from climcube.functions import geometry
 from climcube.operators import anomaly, catalog, ensemble, space, temporal
-from climcube.schema import CELL, SERIES_KEYS, require_columns
+from climcube.schema import CELL, SERIES_KEYS, require_columns, require_table
 
 SERIES_COLUMNS = (*SERIES_KEYS, "region", "year", "anomaly", "n_cells")
 
@@ -106,12 +106,17 @@ def all_series(
     """Model and observation series in one table, as the run enables them.
 
     The station set holds temperature only and is left out for precipitation.
+    A set that the run enables must be given.
     """
     parts = [model_series(models, cfg)]
-    if REANALYSIS in cfg.observations and reanalysis is not None:
-        parts.append(reanalysis_series(reanalysis, cfg))
-    if STATIONS in cfg.observations and cfg.variable == "tas" and stations is not None:
-        parts.append(station_series(stations, station_climatology, cfg))
+    if REANALYSIS in cfg.observations:
+        parts.append(reanalysis_series(require_table(reanalysis, REANALYSIS), cfg))
+    if STATIONS in cfg.observations and cfg.variable == "tas":
+        parts.append(
+            station_series(
+                require_table(stations, STATIONS), require_table(station_climatology, f"{STATIONS} climatology"), cfg
+            )
+        )
     return temporal.merge_time(*parts)
 
 

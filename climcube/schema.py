@@ -37,6 +37,16 @@ class MissingColumnsError(ValueError):
     """A table lacks columns an operator needs."""
 
 
+class MissingTableError(ValueError):
+    """A run enables a table that it was not given."""
+
+
+def require_table(df: DataFrame | None, what: str) -> DataFrame:
+    if df is None:
+        raise MissingTableError(f"the run enables {what}, but its table is not given")
+    return df
+
+
 def require_columns(df: DataFrame, *names: str, what: str = "table") -> DataFrame:
     """Fail before any job starts when ``df`` lacks one of ``names``."""
     missing = [n for n in names if n not in df.columns]

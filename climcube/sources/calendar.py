@@ -11,10 +11,3 @@ def request_calendar(spark: SparkSession, first_year: int = 1950, last_year: int
     years = spark.range(first_year, last_year + 1).select(F.col("id").cast("int").alias("year"))
     return years.select("year", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("month"))
 
-
-def expected_months(series: DataFrame, first_year: int, last_year: int) -> DataFrame:
-    """Every series with every month of a span of years; rows are generated, not joined."""
-    with_years = series.select(
-        "*", F.explode(F.sequence(F.lit(first_year), F.lit(last_year))).alias("year")
-    )
-    return with_years.select("*", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("month"))

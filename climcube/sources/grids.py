@@ -124,9 +124,12 @@ def _alias_rank(variable: str, name_column: str):
 def flatten_rows(
     df: DataFrame, array_column: str, index_name: str = "lon_index", value_name: str = "value"
 ) -> DataFrame:
-    """One row per array element, for input that stores a grid row as an array."""
+    """One row per array element, for input that stores a grid row as an array.
+
+    A missing or empty array stays as one row without index and value.
+    """
     others = [c for c in df.columns if c != array_column]
-    return df.select(*others, F.posexplode(array_column).alias(index_name, value_name))
+    return df.select(*others, F.posexplode_outer(array_column).alias(index_name, value_name))
 
 
 def enabled_observations(df: DataFrame, sources: Sequence[str]) -> DataFrame:

@@ -22,7 +22,7 @@ BASELINE = (1995, 1997)
 FUTURE = (2000, 2001)
 
 CONFIG = RunConfig(baseline=BASELINE, future=FUTURE, running_years=3)
-CONFIG_PR = RunConfig(variable="pr", baseline=BASELINE, future=FUTURE, running_years=3)
+CONFIG_PR = RunConfig(variable="pr", baseline=BASELINE, future=FUTURE, running_years=3, observations=())
 CONFIG_ALL_REGIONS = RunConfig(
     baseline=BASELINE, future=FUTURE, running_years=3, regions=tuple(REGIONS.values())
 )
@@ -167,6 +167,31 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listed.select(md5.alias("md5"), F.explode(F.array(uri)).alias("uri"))
 
 
+def careless_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A manifest row per line item; some lack the URI, the file name or the digest, or hold a brace."""
+    k = F.col("l_orderkey") % 10
+    rows = table(spark, sf_dir, "lineitem").select(k.alias("k"), F.explode(F.array(_file_name())).alias("file_name"))
+    uri = (
+        F.when(F.col("k") == 0, F.lit(" \t"))
+        .when(F.col("k") == 1, F.lit("https://data.example.org/files/"))
+        .when(F.col("k") == 2, F.concat(F.lit("https://data.example.org/{a b}/"), "file_name", F.lit("#x")))
+        .otherwise(F.concat(F.lit("https://data.example.org/files/"), "file_name", F.lit("?x=1")))
+    )
+    md5 = F.when(F.col("k") == 3, F.lit("none")).otherwise(F.md5("file_name"))
+    return rows.select(md5.alias("md5"), uri.alias("uri"))
+
+
+def fine_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A grid of 0.1 degrees around 50 N 5 E with longitudes from 0 to 360."""
+    return table(spark, sf_dir, "lineitem").select(
+        F.lit("tas").alias("variable"), F.lit("CMIP6").alias("source"), _model().alias("model"),
+        F.lit("historical").alias("experiment"), F.year("l_shipdate").alias("year"),
+        (F.lit(50.0) + F.col("l_partkey") % 10 * 0.1).alias("lat"),
+        (F.lit(365.0) + F.floor(F.col("l_partkey") / 10) % 10 * 0.1).alias("lon"),
+        F.col("l_quantity").alias("value"),
+    )
+
+
 def existing_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names on disk: a yearly mean, a re-issued version or the file itself."""
     name = F.col("file_name")
@@ -190,10 +215,12 @@ def local_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with an expected digest; those of low quality expect another one."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    digests = table(spark, sf_dir, "documents").select(
+        "doc_id", F.md5("text").alias("plain"), F.md5(F.concat("text", F.lit("!"))).alias("marked")
+    )
     low = table(spark, sf_dir, "labels").filter("quality = 0").select("doc_id", F.lit(True).alias("low"))
-    expected = F.md5(F.concat("text", F.when(F.col("low"), "!").otherwise("")))
-    return docs.join(low, "doc_id", "left").select(
+    expected = F.when(F.col("low"), F.col("marked")).otherwise(F.col("plain"))
+    return digests.join(low, "doc_id", "left").select(
         F.col("doc_id").cast("string").alias("file_name"), expected.alias("md5")
     )
 

@@ -453,6 +453,33 @@ FROM (SELECT DISTINCT variable, model, experiment, year, file_name FROM reduced)
     sql["version_pick"] = _with(_FILES) + f"""
 SELECT coalesce(max(CASE WHEN contains(file_name, '_v1.2') THEN file_name END), max(file_name)) AS file_name
 FROM files GROUP BY {_STEM}"""
+    sql["version_pick_reduced"] = _with(_FILES) + """
+SELECT coalesce(max(CASE WHEN contains(file_name, '_v1.2') THEN file_name END), max(file_name)) AS file_name
+FROM (SELECT DISTINCT replace(file_name, '.nc', '_yearmean.nc') AS file_name FROM files)
+GROUP BY regexp_replace(file_name, '(_v1[.]2)?_yearmean[.]nc$', '')"""
+    sql["merge_order_raw"] = _with(_FILES) + f"""
+SELECT variable, model, experiment, year, file_name,
+       row_number() OVER (PARTITION BY variable, model, experiment ORDER BY year NULLS LAST, file_name) AS position
+FROM (SELECT DISTINCT {_token(0)} AS variable, {_token(2)} AS model, {_token(3)} AS experiment,
+             {_NAME_YEAR} AS year, file_name FROM files)"""
+    sql["acquisition_rejects"] = f"""
+WITH files AS (SELECT l_orderkey % 10 AS k, {_FILE} AS file_name FROM lineitem)
+SELECT CASE WHEN k > 1 THEN {_token(0)} END AS variable,
+       CASE WHEN k = 0 THEN 'no uri' WHEN k = 1 THEN 'no file name' WHEN k = 3 THEN 'no digest'
+            WHEN {_NAME_YEAR} IS NULL THEN 'no year in name' ELSE 'usable' END AS reason, count(*) AS n
+FROM files GROUP BY 1, 2"""
+    sql["box_select_edges"] = f"""
+SELECT CAST(500000 + l_partkey % 10 * 1000 AS INTEGER) AS lat_q,
+       CAST(50000 + l_partkey // 10 % 10 * 1000 AS INTEGER) AS lon_q, count(*) AS n, {_r('sum(l_quantity)', 'total')}
+FROM lineitem WHERE l_partkey % 10 BETWEEN 1 AND 7 AND l_partkey // 10 % 10 BETWEEN 1 AND 5 GROUP BY 1, 2"""
+    sql["availability_gaps"] = _with(_grid()) + f"""
+SELECT model, experiment, CASE WHEN NOT has_base THEN 'no baseline' ELSE 'no scenario result' END AS reason
+FROM (SELECT m.model, s.experiment,
+             EXISTS (SELECT 1 FROM grid g WHERE g.model = m.model AND g.experiment = 'historical' AND g.year {_BASE}) AS has_base,
+             EXISTS (SELECT 1 FROM grid g WHERE g.model = m.model AND g.experiment = s.experiment AND g.year {_FUTURE}) AS has_future
+      FROM (SELECT DISTINCT model FROM grid) m
+      CROSS JOIN (VALUES ('ssp126'), ('ssp245'), ('ssp370'), ('ssp585')) s(experiment))
+WHERE NOT has_base OR NOT has_future"""
     sql["model_filter_substring"] = _with(_FILES) + f"""
 SELECT {_token(2)} AS model, count(*) AS n FROM files WHERE {_ANY_MODEL} GROUP BY 1"""
     sql["model_filter_exact"] = _with(_FILES) + f"""

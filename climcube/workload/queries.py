@@ -12,7 +12,7 @@ from climcube.config import HISTORICAL, LEVEL_EDGES, MODELS, REGIONS, Region
 from climcube.functions import names, values
 from climcube.operators import anomaly, catalog, countries, ensemble, quality, space, temporal
 from climcube.plans import audit, labels, maps, series
-from climcube.schema import SERIES_KEYS
+from climcube.schema import CELL, SERIES_KEYS
 from climcube.sources import calendar, grids
 from climcube.sources.manifest import parse_names, skip_empty
 from climcube.workload import bindings as b
@@ -191,8 +191,7 @@ def absolute_from_anomaly(spark, sf_dir):
 @query
 def models_without_baseline(spark, sf_dir):
     grid = b.model_grid(spark, sf_dir)
-    clim = temporal.climatology(grid, *b.BASELINE)
-    return anomaly.models_without_baseline(grid, clim).select("model", "experiment")
+    return anomaly.series_without_baseline(grid, *b.BASELINE).select("model", "experiment")
 
 
 # --- series ----------------------------------------------------------------------
@@ -290,15 +289,19 @@ def level_census(spark, sf_dir):
 
 @query
 def model_availability(spark, sf_dir):
-    yearly = temporal.yearly_mean(b.model_grid(spark, sf_dir))
-    clim = temporal.climatology(yearly, *b.BASELINE)
-    future = temporal.period_mean(
-        catalog.keep_models(yearly.filter(F.col("experiment") != HISTORICAL), b.BOUND_MODELS), *b.FUTURE
-    )
-    per_model = future.groupBy("variable", "model", "experiment").agg(
-        F.count(F.lit(1)).alias("n_cells")
+    grid = catalog.keep_models(b.model_grid(spark, sf_dir), b.BOUND_MODELS)
+    found = ensemble.availability(grid, b.BASELINE, b.FUTURE)
+    kept = found.filter((F.col("experiment") != HISTORICAL) & F.col("has_baseline") & (F.col("n_cells") > 0))
+    return kept.select("model", "experiment", "n_cells")
+
+
+@query
+def availability_gaps(spark, sf_dir):
+    """Pairs of model and scenario that have no result, and why."""
+    grid = b.model_grid(spark, sf_dir)
+    return ensemble.availability_gaps(grid, b.BASELINE, b.FUTURE, b.CONFIG.scenarios).select(
+        "model", "experiment", "reason"
     )
-    return ensemble.available_models(per_model, clim).select("model", "experiment", "n_cells")
 
 
 @query
@@ -345,7 +348,8 @@ def coverage_by_year(spark, sf_dir):
 @query
 def coverage_audit(spark, sf_dir):
     grid = b.model_grid(spark, sf_dir)
-    return audit.audit_coverage(grid, ["model", "experiment", "lat", "lon"], 1995, 2001)
+    found = audit.audit_coverage(grid, ["model", "experiment", *CELL], 1995, 2001)
+    return _on_cells(found, "model", "experiment", "year", "n_missing")
 
 
 @query
@@ -480,6 +484,37 @@ def version_pick(spark, sf_dir):
     return catalog.pick_version(files)
 
 
+@query
+def version_pick_reduced(spark, sf_dir):
+    """Reduced files with and without a re-issue tag: one of each base stays."""
+    return catalog.pick_version(b.yearmean_files(spark, sf_dir))
+
+
+@query
+def merge_order_raw(spark, sf_dir):
+    """Raw names, most of which have no year; they come last and none is lost."""
+    files = b.file_names(spark, sf_dir).select("file_name").distinct()
+    ordered = catalog.merge_order(parse_names(files))
+    return ordered.select("variable", "model", "experiment", "year", "file_name", "position")
+
+
+@query
+def acquisition_rejects(spark, sf_dir):
+    """Manifest rows that can be used and those that cannot, by reason."""
+    good, bad = audit.manifest_rejects(b.careless_manifest(spark, sf_dir))
+    rows = good.select("variable", F.lit("usable").alias("reason")).union(bad.select("variable", "reason"))
+    return rows.groupBy("variable", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def box_select_edges(spark, sf_dir):
+    """Cells of a tenth of a degree on the edges of a box."""
+    grid = grids.canonical_grid(b.fine_grid(spark, sf_dir))
+    found = space.select_box(grid, Region("fine", 50.1, 50.7, 5.1, 5.5))
+    keyed = found.groupBy("lat_q", "lon_q").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
+    return keyed
+
+
 @query
 def model_filter_substring(spark, sf_dir):
     kept = catalog.keep_models_in_uri(b.file_names(spark, sf_dir), MODELS, "file_name")

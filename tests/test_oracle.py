@@ -8,11 +8,13 @@ import os
 import pytest
 
 import __spark_entry__ as entry_point
+from climcube.workload.oracle import statements
+from climcube.workload.queries import registry
 from compare import difference, duck
 
 SF_DIR = os.environ.get("CLIMCUBE_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = entry_point.queries()
-SQL = entry_point.oracle_sql()
+QUERIES = registry()
+SQL = statements()
 
 
 @pytest.fixture(scope="module")
@@ -22,6 +24,7 @@ def con():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_point.queries()) and set(SQL) <= set(entry_point.oracle_sql())
 
 
 def test_entry_returns_rows(spark):

@@ -38,7 +38,7 @@ def test_series_read_the_grid_once_and_join_nothing(stored):
     assert plan.count("FileScan") == 1
     assert "Join" not in plan
     assert "partial_avg" in plan and "partial_sum" in plan
-    assert "GreaterThanOrEqual(lat,0.0)" in plan
+    assert "GreaterThanOrEqual(lat,-5.0E-5)" in plan
     scan = next(line for line in plan.splitlines() if "FileScan" in line)
     partitions = scan.split("PartitionFilters")[1].split("PushedFilters")[0]
     assert "experiment" in partitions and "variable" in partitions
