@@ -19,6 +19,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +49,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.first, self.tails = Memo(self._encode, 50_000), Memo(self._encode, 50_000)
-        self.plain, self.later = Memo(self._spaced, 300_000), Memo(self._later, 200_000)
+        self.plain, self.later = Memo(self._spaced, 400_000), Memo(self._later, 250_000)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -84,6 +85,12 @@ class Encoder:
         return b"".join(self.slices(text))
 
 
+@lru_cache(maxsize=1)
+def encoder_of(path: str) -> Encoder:
+    """One per process, so that the next task of a Python worker knows the words already."""
+    return Encoder(path)
+
+
 class Tournament:
     """Free capacity of up to ``n`` bins as a tree of maxima."""
 
@@ -147,7 +154,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, block:
     rows = rows.repartition(F.xxhash64("doc_id", F.length("_text"), F.lit(7)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer_path)
+        encoder = encoder_of(tokenizer_path)
         number = TaskContext.get().partitionId() << TASK_SHIFT
         out: list[tuple] = []  # document, start, length, crc, tokens, sequence, offset
         rests: list[tuple[object, int, bytes, int]] = []  # document, start, identifiers, tokens of the document

@@ -16,6 +16,7 @@ repeat are counted each; empty tables give no rows; other columns of the input a
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -94,6 +95,12 @@ class Counter:
         return self.many([text])[0]
 
 
+@lru_cache(maxsize=1)
+def counter_of(path: str) -> Counter:
+    """One per process, so that the next task of a Python worker knows the words already."""
+    return Counter(path)
+
+
 def count_tokens(docs: DataFrame, model_path: str, limit: int = 4096) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit; a row for each document row."""
     small_batches(docs.sparkSession)
@@ -102,7 +109,7 @@ def count_tokens(docs: DataFrame, model_path: str, limit: int = 4096) -> DataFra
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(model_path)
+        counter = counter_of(model_path)
         for batch in batches:
             counts = pa.array(counter.many(batch.column("_text").to_pylist()), pa.int64())
             columns = [batch.column("doc_id"), batch.column("n_bytes"), counts]
