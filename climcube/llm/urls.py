@@ -3,7 +3,8 @@
 A rule names a host and the start of a path.  It fits its host and all subdomains; of those that
 fit, the longest decides.  URLs with a rule are the labelled ones: their verdicts train
 gradient-boosted trees on length, depth, digit ratio, entropy, number of parameters and
-statistics of the host's last label, and the trees judge the URLs that no rule fits.
+statistics of two suffixes, the host's last label alone and with the path's first segment, and the trees
+judge the URLs that no rule fits.
 
 Suffix statistics count all labelled URLs outside fold 0; the trees are fitted on a bounded sample
 of them by a hash of the identifier.  Suffixes meet the URLs by an equi-join, which a broadcast
@@ -82,7 +83,7 @@ def rule_of(host: Column, path: Column, rules: Sequence[UrlRule] = RULES) -> Col
 
 FEATURES = (
     "length", "host_length", "path_length", "depth", "digit_ratio", "entropy", "host_entropy", "parameters",
-    "query_length", "labels", "hyphens", "longest_word", "suffix_share", "suffix_weight",
+    "query_length", "labels", "hyphens", "longest_word", "label_share", "label_weight", "segment_share", "segment_weight",
 )
 SPLIT = re.compile(r"^(?:.*?://)?([^/?#]*)([^?#]*)(\?[^#]*)?", re.S)
 WORD = re.compile(r"[a-z]+", re.I)
@@ -96,14 +97,14 @@ def _entropy(text: str) -> float:
     return float(-(share * np.log2(share)).sum())
 
 
-def features(url: str | None, share: float, weight: float) -> list[float]:
+def features(url: str | None, suffixes: tuple[float, ...]) -> list[float]:
     url = url or ""
     host, path, query = SPLIT.match(url).groups()
     query = query or ""
     return [
         len(url), len(host), len(path), path.count("/"), sum(map(str.isdigit, url)) / max(1, len(url)), _entropy(url),
         _entropy(host), len([p for p in query[1:].split("&") if p]), len(query), host.count(".") + 1,
-        url.count("-"), max(map(len, WORD.findall(url)), default=0), share, weight,
+        url.count("-"), max(map(len, WORD.findall(url)), default=0), *suffixes,
     ]
 
 
@@ -174,23 +175,24 @@ def train(x: np.ndarray, y: np.ndarray, cfg: TreeConfig = TreeConfig()) -> Trees
     return model
 
 
-def _suffix(host: Column) -> Column:
-    return F.substring_index(host, ".", -1)
+def _suffixes(host: Column, path: Column) -> dict[str, Column]:
+    label = F.substring_index(host, ".", -1)
+    return {"label": label, "segment": F.concat_ws("/", label, F.get(F.split(path, "/"), F.lit(1)))}
 
 
-def suffix_shares(ruled: DataFrame, cfg: TreeConfig) -> DataFrame:
-    """suffix, share (of blocked labels, both verdicts weighing the same in sum), weight (log of their number).
+def suffix_shares(ruled: DataFrame, suffix: str, cfg: TreeConfig) -> DataFrame:
+    """Each suffix with the share of blocked labels, both verdicts weighing the same in sum, and the log of their number.
 
     Shares are drawn towards one half by ``cfg.prior`` labels; labels of fold 0 do not count.
     """
     known = ruled.where(F.col("found").isNotNull() & (fold(F.col("page_id")) != 0))
     blocked = F.sum((F.col("found.verdict") == "block").cast("int"))
-    counts = cut(known.groupBy(_suffix(F.col("host")).alias("suffix")).agg(F.count(F.lit(1)).alias("n"), blocked.alias("bad")))
+    counts = cut(known.groupBy(suffix).agg(F.count(F.lit(1)).alias("n"), blocked.alias("bad")))
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")).first()
     bad = F.col("bad") * (0.5 * total.n / max(1, total.bad))
     good = (F.col("n") - F.col("bad")) * (0.5 * total.n / max(1, total.n - total.bad))
     share = (bad + 0.5 * cfg.prior) / (bad + good + cfg.prior)
-    return counts.select("suffix", share.alias("share"), F.log1p("n").alias("weight"))
+    return counts.select(suffix, share.alias(f"{suffix}_share"), F.log1p("n").alias(f"{suffix}_weight"))
 
 
 def judge(pages: DataFrame, rules: Sequence[UrlRule] = RULES, cfg: TreeConfig = TreeConfig()) -> DataFrame:
@@ -198,28 +200,27 @@ def judge(pages: DataFrame, rules: Sequence[UrlRule] = RULES, cfg: TreeConfig =
     small_batches(pages.sparkSession, 4096)
     ruled = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     ruled = ruled.withColumn("found", rule_of(F.col("host"), F.col("path"), rules))
-    shares = suffix_shares(ruled, cfg)
-    full = (
-        ruled.withColumn("suffix", _suffix(F.col("host")))
-        .join(broadcast_if_small(shares, 100_000), "suffix", "left")
-        .withColumn("share", F.coalesce("share", F.lit(0.5)))
-        .withColumn("weight", F.coalesce("weight", F.lit(0.0)))
-    )
+    suffixes = _suffixes(F.col("host"), F.col("path"))
+    full = ruled = ruled.withColumns(suffixes)
+    for suffix in suffixes:
+        full = full.join(broadcast_if_small(suffix_shares(ruled, suffix, cfg), 100_000), suffix, "left")
+    numbers = [F.coalesce(f"{s}_{x}", F.lit(default)) for s in suffixes for x, default in (("share", 0.5), ("weight", 0.0))]
+    full = full.withColumn("numbers", F.array(*numbers))
     sample = full.where(F.col("found").isNotNull() & (fold(F.col("page_id")) != 0))
     sample = sample.orderBy(F.xxhash64("page_id"), "page_id").limit(cfg.sample_rows)
-    few = sample.select("url", "share", "weight", (F.col("found.verdict") == "block").cast("int").alias("y")).collect()
-    x = np.array([features(r.url, r.share, r.weight) for r in few], float).reshape(len(few), len(FEATURES))
+    few = sample.select("url", "numbers", (F.col("found.verdict") == "block").cast("int").alias("y")).collect()
+    x = np.array([features(r.url, r.numbers) for r in few], float).reshape(len(few), len(FEATURES))
     trees = train(x, np.array([r.y for r in few], float), cfg)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            urls, share, weight = (batch.column(c).to_pylist() for c in ("url", "share", "weight"))
-            x = np.array([features(*r) for r in zip(urls, share, weight, strict=True)], float).reshape(-1, len(FEATURES))
+            urls, numbers = (batch.column(c).to_pylist() for c in ("url", "numbers"))
+            x = np.array([features(*r) for r in zip(urls, numbers, strict=True)], float).reshape(-1, len(FEATURES))
             score = 1 / (1 + np.exp(-trees.logit(x)))
             kept = ["page_id", "host", "path", "rule", "fixed"]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in kept] + [pa.array(score)], [*kept, "score"])
 
-    rows = full.select("page_id", "host", "path", "url", "share", "weight", F.col("found.rule").alias("rule"), F.col("found.verdict").alias("fixed"))
+    rows = full.select("page_id", "host", "path", "url", "numbers", F.col("found.rule").alias("rule"), F.col("found.verdict").alias("fixed"))
     kind = rows.schema["page_id"].dataType.simpleString()
     scored = rows.mapInArrow(run, f"page_id {kind}, host string, path string, rule string, fixed string, score double")
     verdict = F.coalesce("fixed", F.when(F.col("score") >= 0.5, "block").otherwise("allow"))
