@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 SETTINGS = {
-    # Runtime re-planning: partition coalescing, skew splits, and broadcast
-    # only after the shuffled size of a side has been measured.
+    # Runtime re-planning: partition coalescing, skew splits, and joins changed
+    # to a broadcast once the shuffled size of a side has been measured.  Sides
+    # that are small by estimate are broadcast by the static threshold as usual.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -19,6 +20,13 @@ SETTINGS = {
 }
 
 
+def configure(builder: SparkSession.Builder, **extra: str) -> SparkSession.Builder:
+    """The settings on any builder, a cluster's too; ``extra`` comes on top."""
+    for key, value in {**SETTINGS, **extra}.items():
+        builder = builder.config(key, value)
+    return builder
+
+
 def local_session(cores: int = 8, memory: str = "8g", **extra: str) -> SparkSession:
     """A session for tests and benchmarks on one machine."""
     builder = (
@@ -27,8 +35,6 @@ def local_session(cores: int = 8, memory: str = "8g", **extra: str) -> SparkSess
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(cores))
     )
-    for key, value in {**SETTINGS, **extra}.items():
-        builder = builder.config(key, value)
-    spark = builder.getOrCreate()
+    spark = configure(builder, **extra).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

@@ -44,20 +44,17 @@ def write_grid(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     )
 
 
-def save_bucketed(df: DataFrame, table: str, buckets: int, keys: Sequence[str]) -> None:
-    """Save a table bucketed by ``keys``, one file per bucket.
+def save_bucketed(
+    df: DataFrame, table: str, buckets: int, keys: Sequence[str], path: str | None = None
+) -> None:
+    """Save a table bucketed by ``keys``, one file per bucket, in ``path`` or the warehouse.
 
     Meant for yearly grids (``plans.series.yearly_table``): their keys are
     unique, so the buckets are even.  Yearly means, rebasing and change maps
     group by these keys and then need no shuffle of the grid at all.
     """
-    (
-        df.repartition(buckets, *keys)
-        .write.mode("overwrite")
-        .bucketBy(buckets, *keys)
-        .sortBy(*keys)
-        .saveAsTable(table)
-    )
+    writer = df.repartition(buckets, *keys).write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
+    (writer if path is None else writer.option("path", path)).saveAsTable(table)
 
 
 def canonical_grid(raw: DataFrame, lon_min: float = -180.0) -> DataFrame:

@@ -4,24 +4,26 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import asdict, is_dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from climcube.sources.grids import save_bucketed
+
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
 class Store:
     """Parquet results under a shared folder, named by stage and parameters.
 
-    The folder is the cluster's ``spark.checkpoint.dir``; ``root`` is used only
-    where that is unset, as in tests.
+    The folder is ``root`` where one is given, for results that are to last,
+    else the cluster's ``spark.checkpoint.dir``.  All executors must share it.
     """
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
-        shared = spark.conf.get(CHECKPOINT_SETTING, None) or root
+        shared = root or spark.conf.get(CHECKPOINT_SETTING, None)
         if not shared:
             raise ValueError(f"set {CHECKPOINT_SETTING} or pass a shared folder")
         self.root = shared.rstrip("/")
@@ -53,6 +55,29 @@ class Store:
         return self.spark.read.parquet(target)
 
 
+    def materialize_bucketed(
+        self, stage: str, params: object, build: Callable[[], DataFrame], buckets: int, keys: Sequence[str]
+    ) -> DataFrame:
+        """The same for a table bucketed by ``keys``, so that grouping by them needs no shuffle.
+
+        The files lie in the folder like any stage; a session that does not
+        know the table declares it from them.
+        """
+        params = {"params": params, "buckets": buckets, "keys": list(keys)}
+        target, name = self.path(stage, params), f"{stage}_{fingerprint(params)}"
+        if not self.is_done(stage, params):
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            save_bucketed(build(), name, buckets, keys, path=target)
+        elif not self.spark.catalog.tableExists(name):
+            columns = self.spark.read.parquet(target).schema.toDDL()
+            listed = ", ".join(keys)
+            self.spark.sql(
+                f"CREATE TABLE {name} ({columns}) USING parquet "
+                f"CLUSTERED BY ({listed}) SORTED BY ({listed}) INTO {buckets} BUCKETS LOCATION '{target}'"
+            )
+        return self.spark.table(name)
+
+
 def _write(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 

@@ -91,6 +91,27 @@ def test_month_masks(spark):
     assert quality.coverage_gaps(have, ["k"], 2000, 2001).where("k = 'a' and year = 2000").count() == 9
 
 
+def test_a_run_groups_its_yearly_stage_without_a_shuffle(spark, tmp_path):
+    """One small exchange each for series and maps of a stored run, in this session and in one that only finds the files."""
+    from climcube.plans import maps
+    from climcube.schema import BASELINE_KEYS
+    from climcube.sources.store import Store
+
+    store, cfg = Store(spark, str(tmp_path)), RunConfig(baseline=b.BASELINE, future=b.FUTURE, observations=())
+
+    def stage():
+        return store.materialize_bucketed("yearly", "x", lambda: series.yearly_table(b.model_grid(spark, SF)), 4, BASELINE_KEYS)
+
+    first = stage()
+    for _ in range(2):
+        for df in (series.model_series(stage(), cfg), maps.change_map(stage(), cfg)):
+            assert df._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+        assert stage().count() == first.count()
+        for t in spark.catalog.listTables():
+            if t.name.startswith("yearly_") and not t.isTemporary:
+                spark.sql(f"DROP TABLE {t.name}")
+
+
 def test_a_new_table_gives_a_new_result(spark, tmp_path):
     from climcube.plans.run import run
     from climcube.sources.store import Store
