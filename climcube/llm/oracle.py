@@ -34,5 +34,29 @@ FROM d LEFT JOIN found USING (doc_id)
 """
 
 
+def _split(table: str, key: str) -> str:
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"SELECT {key}, regexp_extract_all({lower}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM {table}"
+
+
+DECONTAMINATION = f"""
+WITH d AS ({_split("documents", "doc_id")}), b AS ({_split("benchmark", "CAST(item_id AS VARCHAR) AS item")}),
+cuts AS (SELECT item, w, unnest(range(greatest(len(w) - 12, 1))) AS i FROM b WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item, array_to_string(w[i + 1 : i + 13], ' ') AS words, least(len(w), 13) AS n FROM cuts),
+sizes AS (SELECT DISTINCT n FROM windows),
+places AS (SELECT doc_id, w, n, unnest(range(len(w) - n + 1)) AS i FROM d JOIN sizes ON len(w) >= n),
+hits AS (SELECT DISTINCT doc_id, i, p.n, item FROM places p
+         JOIN windows x ON x.n = p.n AND x.words = array_to_string(w[i + 1 : i + p.n], ' ')),
+covered AS (SELECT doc_id, count(DISTINCT pos) AS n_hit
+            FROM (SELECT doc_id, i + unnest(range(n)) AS pos FROM (SELECT DISTINCT doc_id, i, n FROM hits)) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256
+          FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op1_secret_scan": SECRETS}
+    return {"op1_secret_scan": SECRETS, "op8_decontamination": DECONTAMINATION}

@@ -152,10 +152,10 @@ def test_secret_spans(spark, docs, real):
     assert secrets.scan(cases.empty(docs))[0].count() == 0
 
 
-def test_secret_sql(spark):
+@pytest.mark.parametrize("name", sorted(oracle.statements()))
+def test_queries_equal_their_sql(spark, name):
     con = duck(cases.SF_DIR)
-    sql = oracle.statements()["op1_secret_scan"]
-    assert difference(queries.op1_secret_scan(spark, cases.SF_DIR), con, sql) is None
+    assert difference(queries.registry()[name](spark, cases.SF_DIR), con, oracle.statements()[name]) is None
 
 
 def test_ledger_is_incremental(spark, docs):
