@@ -61,12 +61,23 @@ def canonical_grid(raw: DataFrame, lon_min: float = -180.0) -> DataFrame:
     """Bring a decoded table to the ``GRID`` columns, once, at ingest.
 
     NaN becomes NULL, precipitation becomes mm/day, the longitude moves to one
-    branch, and the integer cell keys are stored.
+    branch, and the integer cell keys are stored.  The year is the given one,
+    else that of a ``time`` stamp, else a decimal ``time_label`` without its
+    fraction; a table with none of the three is refused.
     """
     schema.require_columns(raw, "variable", "lat", "lon", "value", what="grid")
+    years = {
+        "year": lambda: F.col("year").cast("int"),
+        "time": lambda: F.year("time"),
+        "time_label": lambda: F.col("time_label").cast("int"),
+    }
+    given = [make() for name, make in years.items() if name in raw.columns]
+    if not given:
+        raise schema.MissingColumnsError("grid does not contain year, time or time_label")
     lon = geometry.wrap_longitude(F.col("lon"), lon_min)
     clean = raw.withColumns(
         {
+            "year": F.coalesce(*given),
             "value": values.convert_units(F.col("variable"), values.nan_to_null(F.col("value"))),
             "lon": lon,
             "lat_q": geometry.cell_key(F.col("lat")),

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from climcube.config import REANALYSIS, Region, RunConfig
 from climcube.operators import catalog, ensemble, quality, space
 from climcube.plans import audit, series
-from climcube.schema import MissingTableError
+from climcube.schema import MissingColumnsError, MissingTableError
 from climcube.sources import grids
 from climcube.sources.manifest import parse_names, read_manifest
 from climcube.workload import bindings as b
@@ -24,6 +24,16 @@ def test_cells_on_the_edge_of_a_box(spark):
     assert space.region_cells(grid.select("lat", "lon"), table).count() == 15
 
 
+def test_the_year_comes_from_any_kind_of_time(spark):
+    rows = [("tas", 0.0, 0.0, 1.0, 1990.5, None), ("tas", 0.0, 0.0, 1.0, 1990.5, "2001-12-31 23:00:00")]
+    raw = spark.createDataFrame(rows, "variable string, lat double, lon double, value double, time_label double, t string")
+    raw = raw.withColumn("time", F.col("t").cast("timestamp_ntz")).drop("t")
+    assert sorted(r.year for r in grids.canonical_grid(raw).collect()) == [1990, 2001]
+    assert [r.year for r in grids.canonical_grid(raw.drop("time").limit(1)).collect()] == [1990]
+    with pytest.raises(MissingColumnsError, match="time_label"):
+        grids.canonical_grid(raw.drop("time", "time_label"))
+
+
 def test_one_version_of_a_reduced_file(spark):
     names = ["tas_d_M_h_r_g_2015_v1.2_yearmean.nc", "tas_d_M_h_r_g_2015_yearmean.nc", "tas_d_M_h_r_g_2015.nc"]
     files = spark.createDataFrame([(n,) for n in names], "file_name string")
