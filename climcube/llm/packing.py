@@ -49,7 +49,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.first, self.tails = Memo(self._encode, 50_000), Memo(self._encode, 50_000)
-        self.plain, self.later = Memo(self._spaced, 400_000), Memo(self._later, 250_000)
+        self.plain, self.later = Memo(self._spaced, 900_000), Memo(self._later, 400_000)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
