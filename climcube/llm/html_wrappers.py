@@ -12,8 +12,7 @@ Tasks fold their pages into a wrapper per host; these are merged first by host a
 host, as streams over sorted partitions with one wrapper in memory.  So every page takes part, a hot host
 is spread over tasks, and no group is gathered.  From a host's wrapper the slots of the main text are
 chosen: those outside menus, headers, footers, sidebars, notices, adverts, forms and comments, inside
-the article where the host has one, else inside the smallest node with most of the running
-text, without constant and link-heavy slots.
+the article where the host has one, else wherever a slot is neither constant nor link-heavy.
 
 Defined cases: a null or empty page has an empty text; pages without a host share one wrapper; a page on
 which the wrapper's slots are all empty is judged by its own slots; nodes nested deeper than
@@ -318,16 +317,7 @@ def main_slots(wrapper: list) -> set[tuple[str, ...]]:
     good = [(p, s) for p, s in found if 2 * s[2] <= s[1] and not (s[0] >= 3 and s[3] != -1)]
     if not good:
         return {p for p, _ in found}
-    total, root = sum(s[1] for _, s in good), ()
-    while True:
-        below: dict[tuple[str, ...], int] = {}
-        for p, s in good:
-            if len(p) > len(root) and p[: len(root)] == root:
-                below[p[: len(root) + 1]] = below.get(p[: len(root) + 1], 0) + s[1]
-        deeper = [p for p, n in below.items() if 10 * n >= 7 * total and any(len(q) > len(p) and q[: len(p)] == p for q, _ in good)]
-        if not deeper:
-            return {p for p, _ in good if p[: len(root)] == root}
-        root = deeper[0]
+    return {p for p, _ in good}
 
 
 def main_text(page: str, slots: set[tuple[str, ...]]) -> str:

@@ -239,6 +239,13 @@ def test_pages_without_an_article_element(spark):
     assert got == [f"Lead {n} with quite some words of its own here And {n} more of it to read" for n in range(8)]
 
 
+def test_lead_beside_the_body(spark):
+    """A minor part of the running text is main text, too."""
+    body = "<div class='w'><div class='intro'>Short lead {n}</div><div class='body'><p>One {n} " + "of many words " * 9 + "</p><h2>Part {n}</h2></div></div>"
+    got = extracted(spark, [page(FRAME.format(n=n, body=body.format(n=n))) for n in range(6)], "lead.org")
+    assert [g.startswith(f"Short lead {n} One {n} of") and g.endswith(f"Part {n}") for n, g in enumerate(got)] == [True] * 6
+
+
 def test_awkward_pages(spark):
     deep = "<div>" * 500 + "<article><p>deep" + "</div>" * 500
     htmls = [None, "", " \n ", "plain", "<p>open", "<article>a<script>x", "<article>5 < 6 &am</article><footer>f", "<!-- x", deep, "<div hidden>h</div><article>v"]
