@@ -27,7 +27,7 @@ import html
 import json
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import groupby
 
 import pyarrow as pa
@@ -40,6 +40,8 @@ from .urls import host_of
 MAX_DEPTH = 60
 MAX_NODES = 3000
 SALTS = 32
+#: Alignments keep one row of so many.
+KEPT_ROWS = 256
 #: Wrappers that a task holds before it hands them on.
 HELD = 4000
 
@@ -203,29 +205,56 @@ def _fold(nodes: list[list]) -> list[list]:
     return out
 
 
+def _best(a: list[list], b: list[list]) -> Callable[[int, int], int]:
+    """Function of i and j: length of the longest common sequence of labels of a[i:] and b[j:]; i must not decrease.
+
+    A row is an integer whose bits tell where its lengths do not grow.  Every ``KEPT_ROWS``-th row is
+    kept, and those between two kept ones are computed again when they are asked for.
+    """
+    n, m = len(a), len(b)
+    every = (1 << m) - 1
+    places: dict[str, int] = {}
+    for j, y in enumerate(reversed(b)):
+        places[y[0]] = places.get(y[0], 0) | 1 << j
+
+    def above(row: int, i: int) -> int:
+        common = row & places.get(a[i][0], 0)
+        return (row + common | row - common) & every
+
+    kept, row = {n: every}, every
+    for i in range(n - 1, -1, -1):
+        row = above(row, i)
+        if i % KEPT_ROWS == 0:
+            kept[i] = row
+    rows: dict[int, int] = {}
+
+    def best(i: int, j: int) -> int:
+        if i not in rows:
+            start = i - i % KEPT_ROWS
+            end = min(n, start + KEPT_ROWS)
+            rows.clear()
+            rows[end] = kept[end]
+            for k in range(end - 1, start - 1, -1):
+                rows[k] = above(rows[k + 1], k)
+            if i == n:
+                rows[n] = every
+        return m - j - (rows[i] & (1 << m - j) - 1).bit_count()
+
+    return best
+
+
 def align(a: list[list], b: list[list]) -> list[list]:
     """Children of two nodes as one sequence."""
     if [x[0] for x in a] == [x[0] for x in b]:
         return [_merge(x, y) for x, y in zip(a, b, strict=True)]
-    if len(a) * len(b) > 250_000:  # compare only the ends of very long levels
-        out = {x[0]: x for x in a}
-        for y in b:
-            if y[0] in out:
-                _merge(out[y[0]], y)
-            else:
-                y[1], out[y[0]] = 1, y
-        return list(out.values())
     n, m = len(a), len(b)
-    best = [[0] * (m + 1) for _ in range(n + 1)]
-    for i in range(n - 1, -1, -1):
-        for j in range(m - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if a[i][0] == b[j][0] else max(best[i + 1][j], best[i][j + 1])
+    best = _best(a, b)
     out, i, j = [], 0, 0
     while i < n or j < m:
         if i < n and j < m and a[i][0] == b[j][0]:
             out.append(_merge(a[i], b[j]))
             i, j = i + 1, j + 1
-        elif j == m or i < n and best[i + 1][j] >= best[i][j + 1]:
+        elif j == m or i < n and best(i + 1, j) >= best(i, j + 1):
             a[i][1] = 1
             out.append(a[i])
             i += 1

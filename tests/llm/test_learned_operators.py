@@ -266,6 +266,29 @@ def test_wrapper_inference():
     assert html_wrappers.expression(pairs) == "<dl>(<dt>#</>)+(<dd>#</>)+</>"
 
 
+def test_long_levels_lose_no_node():
+    """Levels of 600 nodes, many with the same label, align as short ones do."""
+
+    def level(labels):
+        return [html_wrappers.wrapper_of([((x, "p"), f"{k}", 0)])[3][0] for k, x in enumerate(labels)]
+
+    a, b = (["abc"[k % 3] + str(k % 7) for k in range(i, 600)] for i in (0, 5))
+    chars = sum(len(str(k)) for n in (len(a), len(b)) for k in range(n))
+    out = html_wrappers.align(level(a), level(b))
+    assert sum(node[3][0][4][1] for node in out) == chars and len(out) == 600 and sum(node[1] for node in out) == 5
+
+
+def test_alignment_is_longest():
+    rng = random.Random(4)
+    for size in (1, 5, 40, 700):
+        a, b = ([[rng.choice("abcdef")] for _ in range(rng.randint(0, size))] for _ in "ab")
+        best, table = html_wrappers._best(a, b), [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i in range(len(a) - 1, -1, -1):
+            for j in range(len(b) - 1, -1, -1):
+                table[i][j] = table[i + 1][j + 1] + 1 if a[i] == b[j] else max(table[i + 1][j], table[i][j + 1])
+        assert [[best(i, j) for j in range(len(b) + 1)] for i in range(len(a) + 1)] == table
+
+
 def test_given_pages(spark):
     """All main text of the given pages stands in one article element."""
     import html
