@@ -10,7 +10,8 @@ whether the text was always the same.
 
 Tasks fold their pages into a wrapper per host; these are merged first by host and a salt, then by
 host, as streams over sorted partitions with one wrapper in memory.  So every page takes part, a hot host
-is spread over tasks, and no group is gathered.  From a host's wrapper the slots of the main text are
+is spread over tasks, and no group is gathered.  Copies of a page count once: they are no evidence that a
+text is the same everywhere.  From a host's wrapper the slots of the main text are
 chosen: those outside menus, headers, footers, sidebars, notices, adverts, forms and comments, inside
 the article where the host has one, else wherever a slot is neither constant nor link-heavy.
 
@@ -404,7 +405,10 @@ def wrappers(pages: DataFrame) -> DataFrame:
         if held:
             yield handed()
 
-    rows = pages.select(host_of(F.col("url")).alias("host"), text_or_empty("html").alias("_html")).mapInArrow(of_pages, _SCHEMA)
+    rows = pages.select(host_of(F.col("url")).alias("host"), text_or_empty("html").alias("_html"))
+    # Equal pages of a host meet in the task that reads them first, so many copies are no large group.
+    rows = rows.withColumn("_digest", F.sha2("_html", 256)).dropDuplicates(["host", "_digest"])
+    rows = rows.select("host", "_html").mapInArrow(of_pages, _SCHEMA)
     rows = rows.repartition("host", "salt").sortWithinPartitions("host", "salt").mapInArrow(_fold_runs, _SCHEMA)
     rows = rows.select("host", F.lit(0).alias("salt"), "wrapper").repartition("host").sortWithinPartitions("host")
     return rows.mapInArrow(_fold_runs, _SCHEMA).select("host", "wrapper")

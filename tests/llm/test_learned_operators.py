@@ -246,6 +246,14 @@ def test_lead_beside_the_body(spark):
     assert [g.startswith(f"Short lead {n} One {n} of") and g.endswith(f"Part {n}") for n, g in enumerate(got)] == [True] * 6
 
 
+def test_copies_are_no_evidence(spark):
+    """A block of a page of which there are many copies stays; the same on different pages goes."""
+    own = page("<div class='w'><h1>Title of the copy</h1><p>Text of the copy</p></div><div class='x'>Always the same</div>")
+    others = [page(f"<div class='w'><p>Text number {n}</p></div><div class='x'>Always the same</div>") for n in range(4)]
+    got = extracted(spark, [own] * 4 + others, "copies.org")
+    assert got == ["Title of the copy Text of the copy"] * 4 + [f"Text number {n}" for n in range(4)]
+
+
 def test_awkward_pages(spark):
     deep = "<div>" * 500 + "<article><p>deep" + "</div>" * 500
     htmls = [None, "", " \n ", "plain", "<p>open", "<article>a<script>x", "<article>5 < 6 &am</article><footer>f", "<!-- x", deep, "<div hidden>h</div><article>v"]
