@@ -18,17 +18,18 @@ the article where the host has one, else wherever a slot is neither constant nor
 Defined cases: a null or empty page has an empty text; pages without a host share one wrapper; a page on
 which the wrapper's slots are all empty is judged by its own slots; nodes nested deeper than
 ``MAX_DEPTH`` count as children of that depth; wrappers stop taking in new nodes at ``MAX_NODES``, and
-slots they do not know are judged by the article rule alone; rows that repeat are extracted each;
+all further slots are added up by host and path and judged per path; rows that repeat are extracted each;
 empty tables give no rows; other columns of the input are not read.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import groupby
 
 import pyarrow as pa
@@ -41,6 +42,8 @@ from .urls import host_of
 MAX_DEPTH = 60
 MAX_NODES = 3000
 SALTS = 32
+#: Different pages that show a text to be the same everywhere.
+EVIDENCE = 3
 #: Alignments keep one row of so many.
 KEPT_ROWS = 256
 #: Wrappers that a task holds before it hands them on.
@@ -85,6 +88,9 @@ SKIPPED_ROLE = frozenset("navigation banner contentinfo complementary search ale
 ARTICLE = re.compile(r"(?:^|[\s_-])(?:article|post|entry|story)(?:[_-]?(?:body|content|text))?(?:$|[\s])|^(?:main|content)$", re.I)
 
 
+Path = tuple[str, ...]
+
+
 def _label(tag: str, attrs: str) -> str:
     """The tag with what matters of its attributes: ! is skipped, * is an article, then its class without digits."""
     found = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(attrs)} if attrs.strip(" /") else {}
@@ -168,26 +174,36 @@ def blocks_of(page: str) -> list[tuple[tuple[str, ...], str, int]]:
 
 
 # A node is [label, optional, repeated, children, slot]; a slot is [pages, characters, characters in links,
-# digest of the text or -1 if it differs].
+# digest of the text or -1 if it differs], its pages being the digests of up to ``EVIDENCE`` of them, smallest first.
 
 
 def _new(label: str) -> list:
-    return [label, 0, 0, [], [0, 0, 0, 0]]
+    return [label, 0, 0, [], [[], 0, 0, 0]]
 
 
 def _add_slot(a: list, b: list) -> None:
     if b[0]:
         a[3] = b[3] if not a[0] or a[3] == b[3] else -1
-        a[0], a[1], a[2] = a[0] + b[0], a[1] + b[1], a[2] + b[2]
+        a[0] = a[0] if a[0] == b[0] else sorted({*a[0], *b[0]})[:EVIDENCE]
+        a[1], a[2] = a[1] + b[1], a[2] + b[2]
 
 
-def _merge(a: list, b: list) -> list:
+def _merge(a: list, b: list, path: Path = (), rest: dict[Path, list] | None = None) -> list:
     a[1], a[2] = a[1] | b[1], a[2] | b[2]
     _add_slot(a[4], b[4])
-    a[3] = align(a[3], b[3])
+    a[3] = align(a[3], b[3], path, rest)
     return a
 
 
+def _hand_on(node: list, path: Path, rest: dict[Path, list]) -> None:
+    """Add the slots of a subtree to ``rest``."""
+    path = (*path, node[0])
+    if node[4][0]:
+        _add_slot(rest.setdefault(path, [[], 0, 0, 0]), node[4])
+    for x in node[3]:
+        _hand_on(x, path, rest)
+
+
 def _fold(nodes: list[list]) -> list[list]:
     """Neighbours with equal labels, singly or in groups of up to three, become one repeated occurrence."""
     out: list[list] = []
@@ -244,24 +260,27 @@ def _best(a: list[list], b: list[list]) -> Callable[[int, int], int]:
     return best
 
 
-def align(a: list[list], b: list[list]) -> list[list]:
-    """Children of two nodes as one sequence."""
+def align(a: list[list], b: list[list], path: Path = (), rest: dict[Path, list] | None = None) -> list[list]:
+    """Children of two nodes, which stand at the path, as one sequence; with ``rest``, it takes in what only b has."""
     if [x[0] for x in a] == [x[0] for x in b]:
-        return [_merge(x, y) for x, y in zip(a, b, strict=True)]
+        return [_merge(x, y, (*path, x[0]), rest) for x, y in zip(a, b, strict=True)]
     n, m = len(a), len(b)
     best = _best(a, b)
     out, i, j = [], 0, 0
     while i < n or j < m:
         if i < n and j < m and a[i][0] == b[j][0]:
-            out.append(_merge(a[i], b[j]))
+            out.append(_merge(a[i], b[j], (*path, a[i][0]), rest))
             i, j = i + 1, j + 1
         elif j == m or i < n and best(i + 1, j) >= best(i, j + 1):
             a[i][1] = 1
             out.append(a[i])
             i += 1
         else:
-            b[j][1] = 1
-            out.append(b[j])
+            if rest is None:
+                b[j][1] = 1
+                out.append(b[j])
+            else:
+                _hand_on(b[j], path, rest)
             j += 1
     return _fold(out)
 
@@ -271,7 +290,7 @@ def wrapper_of(blocks: list[tuple[tuple[str, ...], str, int]]) -> list:
     root = _new("")
     open_nodes = [root]
     before: tuple[str, ...] = ()
-    sizes: dict[int, list] = {}
+    digest = int.from_bytes(hashlib.blake2b(repr(blocks).encode("utf-8", "replace"), digest_size=7).digest())
     for path, text, linked in blocks:
         same = 0
         while same < min(len(path), len(before)) and path[same] == before[same]:
@@ -283,35 +302,25 @@ def wrapper_of(blocks: list[tuple[tuple[str, ...], str, int]]) -> list:
             node = _new(label)
             open_nodes[-1][3].append(node)
             open_nodes.append(node)
-        slot = sizes.setdefault(id(open_nodes[-1]), open_nodes[-1][4])
-        _add_slot(slot, [1, len(text), min(linked, len(text)), zlib.crc32(text.encode())])
+        _add_slot(open_nodes[-1][4], [[digest], len(text), min(linked, len(text)), zlib.crc32(text.encode())])
         before = path
 
     def folded(node: list) -> list:
         node[3] = _fold([folded(x) for x in node[3]])
         return node
 
-    root = folded(root)
-
-    def once(node: list) -> None:
-        node[4][0] = min(node[4][0], 1)
-        for x in node[3]:
-            once(x)
-
-    once(root)
-    return root
+    return folded(root)
 
 
 def _size(node: list) -> int:
     return 1 + sum(map(_size, node[3]))
 
 
-def merged(a: list | None, b: list) -> list:
+def merged(a: list | None, b: list, rest: dict[Path, list] | None = None) -> list:
+    """Both as one; above ``MAX_NODES``, ``rest`` takes the slots of nodes that a does not have."""
     if a is None:
         return b
-    if _size(a) + _size(b) > 2 * MAX_NODES:
-        return a
-    return _merge(a, b)
+    return _merge(a, b, (), rest if _size(a) + _size(b) > 2 * MAX_NODES else None)
 
 
 def expression(node: list) -> str:
@@ -331,66 +340,124 @@ def _in_article(path: tuple[str, ...]) -> bool:
     return any(x[0] == "*" for x in path)
 
 
-def main_slots(wrapper: list) -> set[tuple[str, ...]]:
-    """Paths of the slots that hold the main text."""
-    found: list[tuple[tuple[str, ...], list]] = []
+def slots_of(wrapper: list) -> dict[Path, list[list]]:
+    """Slots by path, without those that are skipped."""
+    found: dict[Path, list[list]] = {}
 
-    def walk(node: list, path: tuple[str, ...]) -> None:
+    def walk(node: list, path: Path) -> None:
         if node[4][0] and not _skipped(path):
-            found.append((path, node[4]))
+            found.setdefault(path, []).append(node[4])
         for x in node[3]:
             walk(x, (*path, x[0]))
 
     walk(wrapper, ())
-    if any(_in_article(p) for p, _ in found):
-        return {p for p, _ in found if _in_article(p)}
-    good = [(p, s) for p, s in found if 2 * s[2] <= s[1] and not (s[0] >= 3 and s[3] != -1)]
-    if not good:
-        return {p for p, _ in found}
-    return {p for p, _ in good}
+    return found
+
+
+def _good(slot: list) -> bool:
+    return 2 * slot[2] <= slot[1] and not (len(slot[0]) >= EVIDENCE and slot[3] != -1)
+
+
+def judged(wrapper: list, rest: Iterable[tuple[Path, list]] = ()) -> tuple[bool, set[Path], set[Path]]:
+    """Whether there is an article; if not, the paths of the slots that hold the main text and of the others.
+
+    A path of which ``rest`` has a part is judged as one slot with all that was seen of it.  Paths of
+    the rest that stand on one page only are not listed, as that page says as much about them.
+    """
+    found = slots_of(wrapper)
+    article, good = any(map(_in_article, found)), False
+    for path, slot in rest:
+        if _skipped(path):
+            continue
+        article = article or _in_article(path)
+        if path in found:
+            whole = [[], 0, 0, 0]
+            for x in (*found[path], slot):
+                _add_slot(whole, x)
+            found[path] = [whole]
+        elif len(slot[0]) > 1:
+            found[path] = [slot]
+        else:
+            good = good or _good(slot)
+    if article:
+        return True, set(), set()
+    kept = {p for p, slots in found.items() if any(map(_good, slots))}
+    return (False, kept, found.keys() - kept) if kept or good else (False, set(found), set())
 
 
-def main_text(page: str, slots: set[tuple[str, ...]]) -> str:
+def main_text(page: str, choice: tuple[bool, set[Path], set[Path]]) -> str:
     blocks = blocks_of(page)
-    kept = [t for p, t, _ in blocks if p in slots or (_in_article(p) and not _skipped(p))]
-    if not kept and blocks:
-        own = main_slots(wrapper_of(blocks))
-        kept = [t for p, t, _ in blocks if p in own]
-    return " ".join(kept)
+    article, kept, others = choice
+    takes = {p: not _skipped(p) and (_in_article(p) or not article and p in kept) for p, _, _ in blocks}
+    unknown = {} if article else {p: [[], 0, 0, 0] for p in takes if p not in kept and p not in others and not _skipped(p)}
+    if unknown:
+        for p, text, linked in blocks:
+            if p in unknown:
+                _add_slot(unknown[p], [[0], len(text), min(linked, len(text)), 0])
+        takes |= {p: _good(slot) for p, slot in unknown.items()}
+    out = [t for p, t, _ in blocks if takes[p]]
+    if not out and blocks:
+        article, kept, _ = judged(wrapper_of(blocks))
+        out = [t for p, t, _ in blocks if p in kept or article and _in_article(p) and not _skipped(p)]
+    return " ".join(out)
 
 
-def _fold_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One wrapper for each run of equal (host, salt) in a sorted partition."""
+# Rows are (host, path, salt, value): a wrapper with an empty path, or the slot of a path that is in a rest.
 
-    def rows() -> Iterator[tuple[str, int, str]]:
-        for batch in batches:
-            yield from zip(batch.column("host").to_pylist(), batch.column("salt").to_pylist(), batch.column("wrapper").to_pylist(), strict=True)
 
-    for (host, salt), run in groupby(rows(), key=lambda r: (r[0], r[1])):
-        total = None
-        for _, _, wrapper in run:
-            total = merged(total, json.loads(wrapper))
-        yield _batch([(host, salt, json.dumps(total))])
+def _rest_rows(rest: dict[tuple[str, Path], list], salt: int) -> list[tuple[str, str, int, str]]:
+    rows = [(host, json.dumps(path), salt, json.dumps(slot)) for (host, path), slot in rest.items()]
+    rest.clear()
+    return rows
 
 
-_NAMES, _SCHEMA = ["host", "salt", "wrapper"], "host string, salt int, wrapper string"
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, str, int, str]]:
+    for batch in batches:
+        yield from zip(*(batch.column(c).to_pylist() for c in _NAMES), strict=True)
 
 
-def _batch(rows: list[tuple[str, int, str]]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) or [(), (), ()]
-    kinds = (pa.string(), pa.int32(), pa.string())
+def _fold_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One wrapper or slot for each run of equal (host, path, salt) in a sorted partition."""
+    out: list[tuple[str, str, int, str]] = []
+    for (host, path, salt), run in groupby(_rows(batches), key=lambda r: r[:3]):
+        total, rest = None, {}
+        for *_, value in run:
+            value = json.loads(value)
+            if path:
+                total = total or [[], 0, 0, 0]
+                _add_slot(total, value)
+                continue
+            total = merged(total, value, rest)
+            if len(rest) >= HELD:
+                yield _batch(_rest_rows({(host, p): x for p, x in rest.items()}, salt))
+                rest.clear()
+        out += [(host, path, salt, json.dumps(total)), *_rest_rows({(host, p): x for p, x in rest.items()}, salt)]
+        if len(out) >= (HELD if path else 1):
+            yield _batch(out)
+            out = []
+    if out:
+        yield _batch(out)
+
+
+_NAMES, _SCHEMA = ["host", "path", "salt", "value"], "host string, path string, salt int, value string"
+
+
+def _batch(rows: list[tuple[str, str, int, str]]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [(), (), (), ()]
+    kinds = (pa.string(), pa.string(), pa.int32(), pa.string())
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], _NAMES)
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """host, wrapper (JSON): a row per host."""
+    """host, path, salt, value: a wrapper (JSON) per host, and the slots by path that it did not take in, in parts."""
     small_batches(pages.sparkSession)
 
     def of_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list] = {}
+        rest: dict[tuple[str, Path], list] = {}
 
         def handed() -> pa.RecordBatch:
-            rows = [(host, n % SALTS, json.dumps(w)) for n, (host, w) in enumerate(held.items(), salt)]
+            rows = [(host, "", n % SALTS, json.dumps(w)) for n, (host, w) in enumerate(held.items(), salt)]
             held.clear()
             return _batch(rows)
 
@@ -399,9 +466,16 @@ def wrappers(pages: DataFrame) -> DataFrame:
             for host, page in zip(batch.column("host").to_pylist(), batch.column("_html"), strict=True):
                 page = page.as_py()
                 salt = salt or zlib.crc32(page.encode()) % SALTS
-                held[host] = merged(held.get(host), wrapper_of(blocks_of(page)))
+                more: dict[Path, list] = {}
+                held[host] = merged(held.get(host), wrapper_of(blocks_of(page)), more)
+                for path, slot in more.items():
+                    _add_slot(rest.setdefault((host, path), [[], 0, 0, 0]), slot)
             if len(held) >= HELD:
                 yield handed()
+            if len(rest) >= HELD:
+                yield _batch(_rest_rows(rest, salt))
+        if rest:
+            yield _batch(_rest_rows(rest, salt))
         if held:
             yield handed()
 
@@ -409,37 +483,48 @@ def wrappers(pages: DataFrame) -> DataFrame:
     # Equal pages of a host meet in the task that reads them first, so many copies are no large group.
     rows = rows.withColumn("_digest", F.sha2("_html", 256)).dropDuplicates(["host", "_digest"])
     rows = rows.select("host", "_html").mapInArrow(of_pages, _SCHEMA)
-    rows = rows.repartition("host", "salt").sortWithinPartitions("host", "salt").mapInArrow(_fold_runs, _SCHEMA)
-    rows = rows.select("host", F.lit(0).alias("salt"), "wrapper").repartition("host").sortWithinPartitions("host")
-    return rows.mapInArrow(_fold_runs, _SCHEMA).select("host", "wrapper")
+    rows = rows.repartition("host", "path", "salt").sortWithinPartitions(*_NAMES).mapInArrow(_fold_runs, _SCHEMA)
+    rows = rows.withColumn("salt", F.lit(0)).repartition("host", "path").sortWithinPartitions(*_NAMES)
+    return rows.mapInArrow(_fold_runs, _SCHEMA)
 
 
 def chosen_slots(wrapped: DataFrame) -> DataFrame:
-    """host, slots (JSON): the paths of the main text."""
+    """host, slots (JSON): what ``judged`` says of each host."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            slots = [json.dumps(sorted(main_slots(json.loads(w)))) for w in batch.column("wrapper").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(slots, pa.string())], ["host", "slots"])
+        for host, rows in groupby(_rows(batches), key=lambda r: r[0]):
+            wrapper = json.loads(next(rows)[3])  # its path is empty, so it comes first
+
+            def rest(rows: Iterator = rows) -> Iterator[tuple[Path, list]]:
+                for path, parts in groupby(rows, key=lambda r: r[1]):
+                    total = [[], 0, 0, 0]
+                    for *_, slot in parts:
+                        _add_slot(total, json.loads(slot))
+                    yield tuple(json.loads(path)), total
+
+            article, kept, others = judged(wrapper, rest())
+            slots = json.dumps([article, sorted(kept), sorted(others)])
+            yield pa.RecordBatch.from_arrays([pa.array([host], pa.string()), pa.array([slots], pa.string())], ["host", "slots"])
 
-    return wrapped.mapInArrow(run, "host string, slots string")
+    return wrapped.repartition("host").sortWithinPartitions(*_NAMES).mapInArrow(run, "host string, slots string")
 
 
-def extract(pages: DataFrame, wrapped: DataFrame | None = None) -> DataFrame:
+def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars; a row for each page row."""
-    known = cut(chosen_slots(wrappers(pages) if wrapped is None else wrapped))
+    known = cut(chosen_slots(wrappers(pages)))
     rows = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), text_or_empty("html").alias("_html"))
     rows = rows.join(broadcast_if_small(known, 20_000), "host", "left").select("page_id", "url", "_html", "slots")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        read: dict[str | None, set] = {}
+        read: dict[str, tuple[bool, set, set]] = {}
         for batch in batches:
             texts = []
             for page, slots in zip(batch.column("_html"), batch.column("slots").to_pylist(), strict=True):
                 if slots not in read:
                     if len(read) >= HELD:
                         read.clear()
-                    read[slots] = {tuple(p) for p in json.loads(slots or "[]")}
+                    article, kept, others = json.loads(slots)
+                    read[slots] = article, set(map(tuple, kept)), set(map(tuple, others))
                 texts.append(main_text(page.as_py(), read[slots]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"]

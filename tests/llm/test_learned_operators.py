@@ -297,6 +297,38 @@ def test_alignment_is_longest():
         assert [[best(i, j) for j in range(len(b) + 1)] for i in range(len(a) + 1)] == table
 
 
+def test_full_wrappers_lose_no_slot(spark, monkeypatch):
+    """Pages with their own class names, on a host whose wrapper is full: as on one with room."""
+    names = ["".join("abcdefghij"[int(d)] for d in f"{n:03}") for n in range(60)]
+    bodies = [
+        f"<div class='k{x}'><div><p>Lead {x}</p><h2>Part {x}</h2></div><div class='x'>Same</div></div><div class='y'><p>Always</p></div>"
+        f"<div class='z{names[n // 5]}'><p>Bar</p><h3>Text {x}</h3><ul><li><a href=z>Links {x}</a></ul></div>"
+        for n, x in enumerate(names)
+    ]
+    want = [f"Lead {x} Part {x} Same Text {x}" for x in names]
+    assert extracted(spark, [page(b) for b in bodies], "room.org") == want
+    total, rest = None, {}
+    monkeypatch.setattr(html_wrappers, "MAX_NODES", 10)
+    for b in bodies:
+        total = html_wrappers.merged(total, html_wrappers.wrapper_of(html_wrappers.blocks_of(page(b))), rest)
+    assert html_wrappers._size(total) <= 40 and rest
+    chars = sum(s[1] for s in rest.values()) + sum(s[1] for x in html_wrappers.slots_of(total).values() for s in x)
+    assert chars == sum(len(t) for b in bodies for _, t, _ in html_wrappers.blocks_of(page(b)))
+    choice = html_wrappers.judged(total, rest.items())
+    assert [html_wrappers.main_text(page(b), choice) for b in bodies] == want
+
+
+def test_varied_host_loses_no_block(spark):
+    """More nodes on a host than a wrapper takes in; all pages share one slot."""
+    names = ["".join("abcdefghij"[int(d)] for d in f"{n:02}") for n in range(14)]
+    htmls = [
+        page(f"<p>Shared {x}</p>" + "".join(f"<div class='k{x}-{names[k % 14]}{names[k // 14 % 14]}{names[k // 196]}'>Text {x} {k}</div>" for k in range(700)))
+        for x in names
+    ]
+    want = [" ".join([f"Shared {x}", *(f"Text {x} {k}" for k in range(700))]) for x in names]
+    assert extracted(spark, htmls, "varied.org") == want
+
+
 def test_given_pages(spark):
     """All main text of the given pages stands in one article element."""
     import html
