@@ -8,15 +8,15 @@ their stems have in common.  Both classes have interpolated Kneser-Ney estimates
 whose lower orders ``P(u | h')`` come from continuation counts over both classes together.  Counts
 are documents that hold the word, so that one document's repetitions count once.
 
-A model keeps its own estimate where the classes differ for certain: by the likelihood-ratio test
-of the n-gram in its context, and by at least a factor of e.  Elsewhere both classes use the shared
-estimate and the difference is zero.  What is kept is the log-likelihood difference of each such n-gram, bounded
-by ``max_entries``; a position of a text takes the longest kept n-gram that ends there.  A text's
-raw score is the difference of the two log-likelihoods per word, and a logistic curve fitted on
-labelled documents outside the counts turns it into a probability.
+A position of a word is judged by the longest context that the labelled documents hold: by the log of
+the ratio of both estimates, also where a character never followed the context, and without a least
+count or a test of certainty.  A text's raw score is the difference of the two log-likelihoods per word, and
+a logistic curve fitted on labelled documents outside the counts turns it into a probability.
 
-Counting and all probabilities are aggregations and joins over every labelled document; only the kept
-entries and a bounded calibration sample reach the driver.  Scoring moves no text.
+Counting, all probabilities and scoring are aggregations and joins; the tables of the model stay distributed.  They
+are joined to the distinct windows of characters of the distinct words, and the scores of words to the
+words of the texts.  Only the n-grams on which the classes differ for certain (to read; scoring
+does not use them) and a bounded calibration sample reach the driver.
 
 Defined cases: null, empty and wordless texts have raw score zero and get the curve's value there;
 documents with contradicting labels teach nothing; without labels of both classes every text gets
@@ -27,21 +27,18 @@ other columns are not read.
 from __future__ import annotations
 
 import math
-import re
-from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, cut, fold, small_batches, text_or_empty
+from .common import broadcast_if_small, cut, fold, text_or_empty
 
-#: Java's and Python's form of the same: runs of letters and digits.
+#: What stands between words, which are runs of letters and digits.
 SEPARATOR = r"[^\p{L}\p{N}]+"
-WORD = re.compile(r"[^\W_]+")
-LIMIT = 700_000
+#: Scores of more words, or windows, are shuffled and not sent to every task.
+MOST_SENT = 2_500_000
 
 
 @dataclass(frozen=True)
@@ -50,7 +47,7 @@ class ToxicityConfig:
     discount: float = 0.75
     least_g2: float = 16.0
     least_log_ratio: float = 1.0
-    #: Most n-grams of a model; they are sent to every task.
+    #: Most n-grams listed to read; scoring uses all.
     max_entries: int = 200_000
     #: Most labelled documents in the calibration sample.
     calibration_rows: int = 20_000
@@ -63,7 +60,10 @@ class ToxicityConfig:
 
 @dataclass(frozen=True)
 class ToxicityModel:
+    #: To read: the n-grams on which the classes differ for certain.
     entries: dict[str, float]
+    #: h, unseen, seen: log ratio after the context for characters that never follow it, and by character.
+    contexts: DataFrame
     order: int
     extra_words: float
     slope: float = 1.0
@@ -142,8 +142,8 @@ def _shared(grams: DataFrame, cfg: ToxicityConfig) -> DataFrame:
     return out
 
 
-def _entries(grams: DataFrame, cfg: ToxicityConfig) -> DataFrame:
-    """gram, ratio, g2 of the n-grams on which the classes differ."""
+def _ratios(grams: DataFrame, cfg: ToxicityConfig) -> DataFrame:
+    """gram, h, ratio, unseen, g2: of every n-gram, the log ratio in its context, and that of what never follows the context."""
     gram = F.col("gram")
     longer = grams.where((F.length(gram) > 1)).withColumn("h", _context(gram))
     contexts = longer.groupBy("h").agg(
@@ -162,51 +162,60 @@ def _entries(grams: DataFrame, cfg: ToxicityConfig) -> DataFrame:
         + part(F.col("zt") - F.col("t"), F.col("zt") * (1 - share))
         + part(F.col("zo") - F.col("o"), F.col("zo") * (1 - share))
     )
-    rows = rows.withColumn("g2", g2).where(F.col("g2") >= cfg.least_g2)
-    rows = rows.join(_shared(grams, cfg), _suffix(gram) == F.col("low"))
+    rows = rows.withColumn("g2", g2).join(_shared(grams, cfg), _suffix(gram) == F.col("low"))
+
+    def left(z: str, kinds: str) -> Column:
+        return F.when(F.col(z) > 0, cfg.discount * F.col(kinds) / F.col(z)).otherwise(1.0)
 
     def estimate(n: str, z: str, kinds: str) -> Column:
         own = (F.greatest(F.col(n) - cfg.discount, F.lit(0.0)) + cfg.discount * F.col(kinds) * F.col("p")) / F.col(z)
         return F.when(F.col(z) > 0, own).otherwise(F.col("p"))
 
     ratio = F.log(estimate("t", "zt", "kt")) - F.log(estimate("o", "zo", "ko"))
-    return rows.select("gram", ratio.alias("ratio"), "g2").where(F.abs("ratio") >= cfg.least_log_ratio)
+    unseen = F.log(left("zt", "kt")) - F.log(left("zo", "ko"))
+    return rows.select("gram", "h", ratio.alias("ratio"), unseen.alias("unseen"), "g2")
+
+
+def _certain(ratios: DataFrame, cfg: ToxicityConfig) -> DataFrame:
+    few = (F.col("g2") >= cfg.least_g2) & (F.abs("ratio") >= cfg.least_log_ratio)
+    return ratios.select("gram", "ratio", "g2").where(few)
 
 
-class _Words(dict):
-    """Score of a word, computed when it is first met."""
+def _entries(grams: DataFrame, cfg: ToxicityConfig) -> DataFrame:
+    """gram, ratio, g2 of the n-grams on which the classes differ."""
+    return _certain(_ratios(grams, cfg), cfg)
 
-    def __init__(self, model: ToxicityModel):
-        self.entries, self.order = model.entries, model.order
 
-    def __missing__(self, word: str) -> float:
-        s, entries, total = f"^{word}$", self.entries, 0.0
-        for end in range(2, len(s) + 1):
-            for start in range(max(0, end - self.order), end - 1):
-                found = entries.get(s[start:end])
-                if found is not None:
-                    total += found
-                    break
-        if len(self) < LIMIT:
-            self[word] = total
-        return total
+def word_scores(words: DataFrame, model: ToxicityModel) -> DataFrame:
+    """word, ratio: difference of the two log-likelihoods of each of the distinct words."""
+    s, order = F.concat(F.lit("^"), F.col("word"), F.lit("$")), model.order
+    # What a position adds depends on its character and those of its longest context alone.
+    windows = F.transform(
+        F.sequence(F.lit(2), F.length(s)),
+        lambda end: F.substr(s, F.greatest(F.lit(1), end - order + 1), F.least(end, F.lit(order))),
+    )
+    rows = words.select("word", F.explode(windows).alias("window"))
+    window = F.col("window")
+    last = F.substr(window, F.length(window), F.lit(1))
+    sizes = F.sequence(F.lit(1), F.length(window) - 1)
+    tried = rows.select("window").distinct().select("window", last.alias("u"), F.explode(sizes).alias("k"))
+    tried = tried.withColumn("h", F.substr(window, F.length(window) - F.col("k"), F.col("k")))
+    found = tried.join(broadcast_if_small(model.contexts, 300_000), "h").withColumn("r", F.coalesce(F.element_at("seen", F.col("u")), "unseen"))
+    ratios = found.groupBy("window").agg(F.max_by("r", "k").alias("r"))
+    rows = rows.join(broadcast_if_small(cut(ratios), MOST_SENT), "window")
+    return rows.groupBy("word").agg(F.sum("r").alias("ratio"))
 
 
 def raw_scores(rows: DataFrame, model: ToxicityModel, keep: str) -> DataFrame:
     """``keep`` and raw (log-likelihood difference per word) of every row with a ``_text``."""
-    small_batches(rows.sparkSession)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = _Words(model)
-        for batch in batches:
-            raw = []
-            for text in batch.column("_text"):
-                words = WORD.findall(text.as_py().lower())
-                raw.append(sum(map(score.__getitem__, words)) / (len(words) + model.extra_words))
-            yield pa.RecordBatch.from_arrays([batch.column(keep), pa.array(raw, pa.float64())], [keep, "raw"])
-
-    kind = rows.schema[keep].dataType.simpleString()
-    return rows.select(keep, "_text").mapInArrow(run, f"{keep} {kind}, raw double")
+    split = F.split(F.lower("_text"), SEPARATOR)
+    words = rows.select(F.explode(F.array_distinct(split)).alias("word")).where("word != ''")
+    scores = cut(word_scores(cut(words.distinct()), model))
+    each = rows.select(keep, "_text").withColumn("_row", F.monotonically_increasing_id())
+    each = each.select(keep, "_row", F.explode_outer(split).alias("word"))
+    each = each.join(broadcast_if_small(scores, MOST_SENT), "word", "left")
+    total, size = F.sum(F.coalesce("ratio", F.lit(0.0))), F.count_if(F.col("word") != "")
+    return each.groupBy("_row", keep).agg((total / (size + model.extra_words)).alias("raw")).drop("_row")
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[float, float]:
@@ -232,12 +241,15 @@ def fit(docs: DataFrame, labels: DataFrame, cfg: ToxicityConfig = ToxicityConfig
     agreed = cut(agreed_labels(labels, "toxic"))
     counted = labelled(docs, agreed.where(F.col("fold").isin(*cfg.count_folds)))
     grams = cut(_grams(counted, cfg.order))
-    best = _entries(grams, cfg).orderBy(F.desc("g2"), "gram").limit(cfg.max_entries).collect()
-    model = ToxicityModel({r.gram: r.ratio for r in best}, cfg.order, cfg.extra_words)
+    ratios = cut(_ratios(grams, cfg))
+    best = _certain(ratios, cfg).orderBy(F.desc("g2"), "gram").limit(cfg.max_entries).collect()
+    follows = F.struct(F.substr(F.col("gram"), F.length("gram"), F.lit(1)), F.col("ratio"))
+    contexts = ratios.groupBy("h").agg(F.first("unseen").alias("unseen"), F.map_from_entries(F.collect_list(follows)).alias("seen"))
+    model = ToxicityModel({r.gram: r.ratio for r in best}, cut(contexts), cfg.order, cfg.extra_words)
     sample = bounded_sample(agreed.where(F.col("fold") == cfg.calibration_fold), cfg.calibration_rows)
     few = raw_scores(labelled(docs, sample), model, "label").collect()
     slope, offset = logistic(np.array([r.raw for r in few]), np.array([r.label for r in few]))
-    return ToxicityModel(model.entries, model.order, model.extra_words, slope, offset)
+    return replace(model, slope=slope, offset=offset)
 
 
 def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:

@@ -101,6 +101,26 @@ def test_toxicity_estimates(spark):
         assert math.isclose(r.ratio, math.log(p[0] / p[1]), rel_tol=1e-9, abs_tol=1e-12)
 
 
+def test_toxicity_of_rare_expressions(spark, learned):
+    """Expressions in three toxic documents weigh, and every position has its full estimate."""
+    texts = [(k, f"gargle{'!' * k} plain words {k}") for k in range(900, 903)]
+    rare = spark.createDataFrame(texts, "doc_id long, text string")
+    marks = spark.createDataFrame([(k, 1, 1, "clash") for k, _ in texts], learned[1].schema)
+    # All in folds that count.
+    cfg = toxicity.ToxicityConfig(count_folds=(0, 1, 2, 3, 4))
+    model = toxicity.fit(learned[0].union(rare), learned[1].union(marks), cfg)
+    words = spark.createDataFrame([(x,) for x in ("gargle", "gargles", "zzz")], "word string")
+    got = {r.word: r.ratio for r in toxicity.word_scores(words, model).collect()}
+    assert got["gargle"] > 3 and got["gargles"] > 2 and not any("garg" in g for g in model.entries)
+    table = {r.h: r for r in model.contexts.collect()}
+    for word, value in got.items():
+        s, want = f"^{word}$", 0.0
+        for end in range(1, len(s)):
+            h = next((s[i:end] for i in range(max(0, end - 4), end) if s[i:end] in table), None)
+            want += 0 if h is None else table[h].seen.get(s[end], table[h].unseen)
+        assert math.isclose(value, want, rel_tol=1e-9)
+
+
 def test_quality_on_unseen_documents(spark, learned):
     docs, labels = learned
     cfg = quality_classifier.QualityConfig(vocabulary=300, epochs=20)
