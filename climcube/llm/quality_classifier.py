@@ -6,9 +6,9 @@ aggregation adds up the tasks.  A document is the mean and the deviation of its
 network turns that into a logit, and a temperature fitted on labelled documents outside the
 training calibrates the probability.
 
-The vocabulary and the network come from a bounded sample of labelled documents; tokens outside the
-vocabulary count as their shape (case, length, kind of symbol).  The vectors come from all
-documents.  What is sent to the tasks is bounded by the vocabulary; no text is shuffled.
+The vocabulary is the most frequent tokens of all documents, counted in full, and the vectors come from all
+documents; tokens outside the vocabulary count as their shape (case, length, kind of symbol).  Only the
+network is fitted on a bounded sample of labelled documents.  What is sent to the tasks is bounded by the vocabulary; no text is shuffled.
 
 Defined cases: null, empty and tokenless texts are the mean of nothing, a zero vector; documents with
 contradicting labels teach nothing; with labels of one class only, every text gets its share; rows that
@@ -42,7 +42,7 @@ class QualityConfig:
     nonzeros: int = 4
     window: int = 2
     vocabulary: int = 20_000
-    #: Most labelled documents in the sample that the vocabulary and the network are fitted on.
+    #: Most labelled documents in the sample that the network is fitted on.
     sample_rows: int = 20_000
     hidden: int = 32
     epochs: int = 60
@@ -86,26 +86,34 @@ def index_vectors(n: int, cfg: QualityConfig) -> tuple[np.ndarray, np.ndarray]:
     return places, rng.choice([-1.0, 1.0], (n, cfg.nonzeros))
 
 
-def vocabulary_of(sample: DataFrame, cfg: QualityConfig) -> list[str]:
-    """The most frequent tokens of the sample, then the shapes of all its tokens."""
+def vocabulary_of(docs: DataFrame, cfg: QualityConfig) -> list[str]:
+    """The most frequent tokens of all documents, then the shapes of all their tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            counts: Counter[str] = Counter()
-            for text in batch.column("_text"):
-                counts.update(TOKEN.findall(text.as_py()))
+        counts: Counter[str] = Counter()
+
+        def counted() -> pa.RecordBatch:
             shapes: Counter[str] = Counter()
             for token, n in counts.items():
                 shapes[shape(token)] += n
             rows = [*((t, n, False) for t, n in counts.items()), *((t, n, True) for t, n in shapes.items())]
+            counts.clear()
             columns = list(zip(*rows, strict=True)) or [(), (), ()]
-            yield pa.RecordBatch.from_arrays(
+            return pa.RecordBatch.from_arrays(
                 [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.bool_())],
                 ["token", "n", "is_shape"],
             )
 
+        for batch in batches:
+            for text in batch.column("_text"):
+                counts.update(TOKEN.findall(text.as_py()))
+            if len(counts) >= LIMIT // 2:
+                yield counted()
+        if counts:
+            yield counted()
+
     counts = cut(
-        sample.select("_text").mapInArrow(run, "token string, n bigint, is_shape boolean")
+        docs.select(text_or_empty().alias("_text")).mapInArrow(run, "token string, n bigint, is_shape boolean")
         .groupBy("token", "is_shape").agg(F.sum("n").alias("n"))
     )
     words = counts.where("not is_shape").orderBy(F.desc("n"), "token").limit(cfg.vocabulary).collect()
@@ -244,7 +252,7 @@ def fit(docs: DataFrame, labels: DataFrame, cfg: QualityConfig = QualityConfig()
     small_batches(docs.sparkSession)
     agreed = cut(agreed_labels(labels, "quality"))
     sample = labelled(docs, bounded_sample(agreed, cfg.sample_rows))
-    vocabulary = vocabulary_of(sample, cfg)
+    vocabulary = vocabulary_of(docs, cfg)
     vectors = word_vectors(docs, vocabulary, cfg)
     rows = _pooled(sample, vocabulary, vectors).collect()  # at most cfg.sample_rows
     width = 2 * cfg.dimensions

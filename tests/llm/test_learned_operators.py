@@ -140,6 +140,14 @@ def test_quality_of_awkward_rows(spark, docs, learned):
     assert {round(r.score, 9) for r in quality_classifier.score(docs, blank, cfg).collect()} == {0.5}
 
 
+def test_vocabulary_of_all_documents(spark, learned):
+    """Tokens that are frequent in documents without a label have their own vectors."""
+    more = spark.createDataFrame([(10_000 + i, "unlabelled words " * 200) for i in range(20)], "doc_id long, text string")
+    cfg = quality_classifier.QualityConfig(vocabulary=20, epochs=1)
+    model = quality_classifier.fit(learned[0].union(more), learned[1], cfg)
+    assert all(model.vectors[model.vocabulary.index(x) + 1].any() for x in ("unlabelled", "words"))
+
+
 def test_word_vectors_are_sums_over_neighbours(spark):
     cfg = quality_classifier.QualityConfig(dimensions=8, nonzeros=2, window=2)
     words, text = ["a", "b", "c"], "a b c a a"
