@@ -1,7 +1,8 @@
 """The library's input tables, derived from the driver's relational tables.
 
-Grid cells are 15 by 30 degrees, stored with longitudes from 0 to 360.  Every
-row of a driver table becomes a row here; nothing is sampled.
+Grid cells are 15 by 30 degrees, stored with longitudes from 0 to 360.  Line
+items with the flags RO become observations and all others model output, so a
+grid holds its part of the rows; nothing is sampled.
 """
 
 from __future__ import annotations
