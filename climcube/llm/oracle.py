@@ -58,5 +58,77 @@ FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
 
+_SHARE = "1 + (1000000000::HUGEINT * ({n} + 5)) // ({total} + 5 * v)"
+
+DIVERGENCE = f"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+words AS (SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\\x00-\\x60\\x7B-\\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT r) >= 30),
+groups AS (SELECT DISTINCT lang, source FROM d),
+counts AS (SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+dense AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, k.n AS lang_n,
+                 sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang, g.source) AS total,
+                 sum(k.n) OVER (PARTITION BY g.lang, g.source) AS lang_total,
+                 count(*) OVER (PARTITION BY g.lang, g.source) AS v
+          FROM groups g JOIN kept k USING (lang) LEFT JOIN counts c USING (lang, source, term)),
+shares AS (SELECT lang, source, term, n, {_SHARE.format(n="n", total="total")} AS p,
+                  {_SHARE.format(n="lang_n", total="lang_total")} AS q FROM dense),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+         FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, CAST(p - q AS BIGINT) FROM shares WHERE n > 0 AND p > q),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+           FROM found)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+
+def _vector_codes() -> str:
+    """Four rounds and the last assignment, each as joined tables of one component a row."""
+    ctes = ["""kept AS (SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: CAST(floor(x::DOUBLE * 1024) AS BIGINT)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND NOT list_bool_or(list_transform(embedding, lambda x: x IS NULL OR NOT isfinite(x))))""",
+            """parts AS (SELECT r, p, list_transform(v[p * len(v) // 4 + 1 : (p + 1) * len(v) // 4], lambda x: x::DOUBLE) AS w
+  FROM kept, (SELECT unnest(range(4)) AS p))""",
+            """book0 AS (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, w
+  FROM parts JOIN kept USING (r) QUALIFY row_number() OVER (PARTITION BY p ORDER BY vec_id) <= 256)"""]
+    for i in range(5):
+        ctes.append(f"""near{i} AS (SELECT r, a.p, a.w, arg_min(e, (d, e)) AS e, min(d) AS d FROM (
+    SELECT r, a.p, a.w, b.e, list_inner_product(a.w, a.w) - 2 * list_inner_product(a.w, b.w) + list_inner_product(b.w, b.w) AS d
+    FROM parts a JOIN book{i} b ON a.p = b.p) a GROUP BY r, a.p, a.w)""")
+        if i < 4:
+            ctes.append(f"""mean{i} AS (SELECT p, e, list(m ORDER BY i) AS w FROM (
+    SELECT p, e, i, floor(sum(x) / count(*)) AS m FROM (SELECT p, e, unnest(w) AS x, unnest(range(len(w))) AS i FROM near{i})
+    GROUP BY p, e, i) GROUP BY p, e)""")
+            ctes.append(f"""book{i + 1} AS (SELECT b.p, b.e, coalesce(m.w, b.w) AS w FROM book{i} b LEFT JOIN mean{i} m ON m.p = b.p AND m.e = b.e)""")
+    ctes.append("""coded AS (SELECT r, string_agg(lower(printf('%02x', e)), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error
+  FROM near4 GROUP BY r)""")
+    ctes.append("""books AS (SELECT sha256(string_agg(CAST(CAST(x AS BIGINT) AS VARCHAR), ',' ORDER BY p, e, i)) AS h
+  FROM (SELECT p, e, unnest(w) AS x, unnest(range(len(w))) AS i FROM book4))""")
+    listed = ",\n".join(f"{c.replace(' AS (', ' AS MATERIALIZED (', 1)}" for c in ctes)
+    return f"""WITH {listed}
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256
+FROM kept JOIN coded USING (r), books"""
+
+
+LINES = """
+WITH lines AS (SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS i
+               FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)),
+keyed AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                              'abcdefghijklmnopqrstuvwxyz') AS k FROM lines),
+shared AS (SELECT k, max(doc_id) AS last FROM keyed WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5),
+judged AS (SELECT doc_id, line, i, last IS NULL OR doc_id = last AS stays FROM keyed LEFT JOIN shared USING (k))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (NOT stays) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (stays), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op1_secret_scan": SECRETS, "op8_decontamination": DECONTAMINATION}
+    return {
+        "op1_secret_scan": SECRETS, "op8_decontamination": DECONTAMINATION, "op11_source_divergence": DIVERGENCE,
+        "op12_vector_codes": _vector_codes(), "op13_line_dedup": LINES,
+    }

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from . import (
     decontamination,
+    divergence,
     html_wrappers,
+    line_dedup,
     packing,
     quality_classifier,
     quality_rules,
@@ -19,6 +21,7 @@ from . import (
     token_counts,
     toxicity,
     urls,
+    vector_codes,
 )
 from .common import table
 
@@ -75,9 +78,23 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("rejected_by")
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_shared_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_secret_scan, op2_toxicity, op3_html_wrappers, op4_token_counts, op5_url_filter, op6_packing,
         op7_simhash, op8_decontamination, op9_quality_classifier, op10_quality_rules,
+        op11_source_divergence, op12_vector_codes, op13_line_dedup,
     )
     return {f.__name__: f for f in found}
