@@ -18,6 +18,21 @@ def cell_key(degrees: Column) -> Column:
     return F.round(degrees * KEY_SCALE).cast("int")
 
 
+def curve_key(lat_q: Column, lon_q: Column) -> Column:
+    """Place of a cell on a Z-order curve: the bits of both keys in turn, longitude first."""
+    lat = _spread_bits(lat_q.cast("long") + 90 * KEY_SCALE)
+    lon = _spread_bits(F.pmod(lon_q.cast("long"), F.lit(360 * KEY_SCALE)))
+    return F.shiftleft(lon, 1).bitwiseOR(lat)
+
+
+def _spread_bits(key: Column) -> Column:
+    """The low 23 bits of a key with a free bit between any two, by doubling the distance of ever smaller groups."""
+    for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F),
+                        (2, 0x3333333333333333), (1, 0x5555555555555555)):
+        key = key.bitwiseOR(F.shiftleft(key, shift)).bitwiseAND(F.lit(mask))
+    return key
+
+
 def _reach(low: float, high: float) -> tuple[float, float]:
     """A closed range widened by half a key, so that a cell on its edge is inside however it was computed."""
     return low - 0.5 / KEY_SCALE, high + 0.5 / KEY_SCALE

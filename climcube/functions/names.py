@@ -36,6 +36,12 @@ def uri_file_name(uri: Column) -> Column:
     return base_name(path)
 
 
+def climate_file(path: Column) -> Column:
+    """The ``.nc`` segment of a path: a decoded file, or the folder that holds its parts; else the base name."""
+    found = F.regexp_extract(path, r"([^/]*[.]nc)(?:[.]parquet|/[^/]*)?$", 1)
+    return F.coalesce(F.nullif(found, F.lit("")), base_name(path))
+
+
 def base_name(path: Column) -> Column:
     """What follows the last slash."""
     return F.substring_index(path, "/", -1)

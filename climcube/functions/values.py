@@ -20,9 +20,12 @@ def nan_to_null(value: Column) -> Column:
     return F.nullif(value, F.lit(float("nan")))
 
 
-def convert_units(variable: Column, value: Column) -> Column:
-    """Precipitation flux in kg/m²/s to mm/day; other variables unchanged."""
-    return F.when(variable == "pr", value * SECONDS_PER_DAY).otherwise(value)
+def convert_units(variable: Column, value: Column, unit: Column | None = None) -> Column:
+    """Precipitation flux in kg/m²/s to mm/day; other variables, and values already in mm/day, unchanged."""
+    flux = variable == "pr"
+    if unit is not None:
+        flux = flux & ~unit.eqNullSafe(F.lit(UNITS["pr"]))
+    return F.when(flux, value * SECONDS_PER_DAY).otherwise(value)
 
 
 def unit_label(variable: Column) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from climcube.config import MODELS
 from climcube.functions import names
+from climcube.sources.manifest import parse_names
 
 FILE_SERIES = ("variable", "model", "experiment")
 
@@ -54,6 +55,33 @@ def pick_version(files: DataFrame, column: str = "file_name") -> DataFrame:
     )
 
 
+def pick_year_files(
+    files: DataFrame, keys: Sequence[str] = FILE_SERIES, column: str = "file_name"
+) -> DataFrame:
+    """One file per series and year, a re-issued one first and then by name.
+
+    ``files`` holds parsed names.  Without this a year that two files cover counts
+    twice in every mean.  A file without a year stands for itself.
+    """
+    name = F.col(column)
+    same = F.coalesce(F.col("year").cast("string"), names.version_base(name))
+    w = Window.partitionBy(*keys, same).orderBy(names.version_of(name).desc_nulls_last(), name)
+    return files.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+
+
+def one_file_per_year(
+    grid: DataFrame, files: DataFrame | None = None, keys: Sequence[str] = FILE_SERIES, column: str = "file_name"
+) -> DataFrame:
+    """Rows of a grid that come from the chosen file of their series and year.
+
+    ``files`` is a listing; without one the names are taken from the grid.  The
+    rows meet the chosen names in a semi join *before* anything is averaged.
+    """
+    listed = (grid if files is None else files).select(column).distinct()
+    chosen = pick_year_files(parse_names(listed, column), keys, column)
+    return grid.join(chosen.select(column), column, "left_semi")
+
+
 def merge_order(
     files: DataFrame, keys: Sequence[str] = FILE_SERIES, column: str = "file_name"
 ) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from climcube.config import HISTORICAL
+from climcube.config import HISTORICAL, SCENARIOS
 from climcube.functions import values
 from climcube.schema import CELL
 
@@ -191,11 +191,14 @@ def trend(series: DataFrame, keys: Sequence[str], value: str = "anomaly") -> Dat
 
 def scenario_rank(
     ensemble: DataFrame, first: int, last: int, value: str = "p50",
-    within: Sequence[str] = ("variable", "region"),
+    within: Sequence[str] = ("variable", "region"), scenarios: Sequence[str] = SCENARIOS,
 ) -> DataFrame:
-    """Period mean per scenario and its rank, the largest change first."""
+    """Period mean per scenario and its rank, the largest change first.
+
+    History and observations are no scenarios and take no rank.
+    """
     means = (
-        ensemble.filter(F.col("year").between(first, last))
+        ensemble.filter(F.col("year").between(first, last) & F.col("experiment").isin(list(scenarios)))
         .groupBy(*within, "experiment")
         .agg(F.avg(value).alias("change"))
     )
@@ -203,7 +206,7 @@ def scenario_rank(
     return means.withColumn("position", F.rank().over(w))
 
 
-def sign_shares(maps: DataFrame, keys: Sequence[str] = ("variable", "experiment")) -> DataFrame:
+def sign_shares(maps: DataFrame, keys: Sequence[str] = GROUP) -> DataFrame:
     """Share of cells that become wetter (warmer) and drier (cooler)."""
 
     def share(test):

@@ -52,6 +52,47 @@ def manifest_rejects(manifest: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
 
 
+# States of a manifest row that no file state follows, in the order they are tested.
+REJECTED = ("malformed", "no uri", "no file name", "no digest", "other model", "other variable", "other version")
+
+
+def account(
+    manifest: DataFrame,
+    existing: DataFrame,
+    digests: DataFrame,
+    models: Sequence[str] | None = MODELS,
+) -> DataFrame:
+    """Every manifest row with exactly one ``status``.
+
+    ``status`` is why a row is not used (``REJECTED``), else why it needs no work, else the digest check of the
+    local copy (ok, mismatch or missing).  Rows are marked and never filtered, so the counts per status add up
+    to the manifest.  ``manifest`` may have the column ``malformed`` of ``read_manifest_rows``.
+    """
+    uri, name = F.col("uri"), F.col("file_name")
+    rows = strip_fields(manifest)
+    if "malformed" not in rows.columns:
+        rows = rows.withColumn("malformed", F.lit(None).cast("string"))
+    named = rows.withColumn("file_name", F.nullif(names.uri_file_name(uri), F.lit("")))
+    other_model = F.lit(False) if models is None else ~names.contains_any(uri, models)
+    why = (
+        F.when(F.col("malformed").isNotNull(), "malformed")
+        .when(F.coalesce(uri, F.lit("")) == "", "no uri")
+        .when(name.isNull(), "no file name")
+        .when(~F.coalesce(F.col("md5").rlike("^[0-9a-fA-F]{32}$"), F.lit(False)), "no digest")
+        .when(other_model, "other model")
+        .when(~names.wanted_variable(name), "other variable")
+    )
+    marked = named.withColumn("_why", why)
+    # a chosen name stands for all its rows, however often it is listed
+    usable = marked.filter("_why IS NULL").select("file_name").distinct()
+    best = catalog.pick_version(usable).select(name.alias("_best"))
+    chosen = marked.join(best, name == F.col("_best"), "left")
+    why = F.coalesce(F.col("_why"), F.when(F.col("_best").isNull(), "other version"))
+    checked = catalog.verify_digests(catalog.skip_existing(chosen.withColumn("_why", why), existing), digests)
+    status = F.coalesce(F.col("_why"), F.col("skip_reason"), F.col("status"))
+    return parse_names(checked.select("md5", "uri", "malformed", "file_name", status.alias("status")))
+
+
 def acquisition_status(
     manifest: DataFrame,
     existing: DataFrame,

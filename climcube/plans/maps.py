@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from climcube.config import LEVEL_EDGES, RunConfig
 from climcube.functions.geometry import cell_degrees
-from climcube.operators import catalog, ensemble
+from climcube.operators import catalog, ensemble, space
 from climcube.plans.series import regional_yearly
 
 
@@ -19,9 +19,12 @@ def change_per_model(grid: DataFrame, cfg: RunConfig) -> DataFrame:
 
 
 def change_map(grid: DataFrame, cfg: RunConfig) -> DataFrame:
-    """Mean change over models per scenario and cell."""
+    """Mean change over models per scenario, region and cell.
+
+    A cell in several regions of the run is a row of each; the mean is computed once.
+    """
     means = ensemble.ensemble_mean(change_per_model(grid, cfg))
-    return means.select(
+    cells = means.select(
         "variable",
         "experiment",
         cell_degrees(F.col("lat_q")).alias("lat"),
@@ -29,6 +32,7 @@ def change_map(grid: DataFrame, cfg: RunConfig) -> DataFrame:
         "anomaly",
         "n_models",
     )
+    return space.assign_regions(cells, cfg.regions)
 
 
 def classified_map(grid: DataFrame, cfg: RunConfig, digits: int | None = None) -> DataFrame:

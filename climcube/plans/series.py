@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from climcube.config import HISTORICAL, REANALYSIS, STATIONS, RunConfig
-from climcube.functions import geometry
+from climcube.functions import geometry, values
 from climcube.operators import anomaly, catalog, ensemble, space, temporal
 from climcube.schema import CELL, SERIES_KEYS, require_columns, require_table
+from climcube.sources import grids
 
 SERIES_COLUMNS = (*SERIES_KEYS, "region", "year", "anomaly", "n_cells")
 
@@ -120,6 +121,50 @@ def all_series(
     return temporal.merge_time(*parts)
 
 
+def load_series(files: DataFrame, variable: str) -> DataFrame:
+    """One value per file, experiment and year from series as providers write them.
+
+    ``files`` has ``file_name``, ``experiment``, ``variable``, ``value`` and a ``time`` stamp or a decimal
+    ``time_label``; ``position`` is the order in the file.  A file's values are those of the best alias it holds;
+    a fraction of a year is cut off, and of a repeated year the first value stays.  ``n_repeats`` counts
+    the rows that gave way, and a file without any alias has no row.
+
+    One aggregation does all of it: per alias and year the first value is a ``min_by``, which combines
+    before the shuffle.  Only then, on a row per year, the best alias of a file is found.
+    """
+    rank = grids.alias_rank(variable, "variable")
+    given = set(files.columns)
+    none = F.lit(None)
+    year = values.year_of_time(
+        F.col("time") if "time" in given else none.cast("timestamp_ntz"),
+        F.col("time_label") if "time_label" in given else none.cast("double"),
+    )
+    rows = files.withColumns({
+        "_rank": rank, "year": year,
+        "_value": values.convert_units(F.lit(variable), values.nan_to_null(F.col("value"))),
+    }).filter("_rank IS NOT NULL AND year IS NOT NULL")
+    # rows of one time in one file are told apart by their values, so the choice does not depend on the run
+    first = F.struct("position", "_value")
+    per_year = rows.groupBy("file_name", "experiment", "_rank", "year").agg(
+        F.min_by(F.struct("_value"), first).alias("_first"), F.count(F.lit(1)).alias("_n")
+    )
+    of_file = Window.partitionBy("file_name", "experiment")
+    best = per_year.withColumn("_best", F.min("_rank").over(of_file)).filter("_rank = _best")
+    return best.select(
+        F.lit(variable).alias("variable"), F.col("file_name").alias("model"), "experiment", "year",
+        F.col("_first._value").alias("anomaly"), (F.col("_n") - 1).alias("n_repeats"),
+    )
+
+
+def spread_from_files(files: DataFrame, cfg: RunConfig, region: str) -> DataFrame:
+    """Ensemble spread of stored series: names, units, times and repeats settled, then the quantiles.
+
+    The series are spatial means of one region already; an experiment's files are its models.
+    """
+    loaded = load_series(files, cfg.variable).withColumn("region", F.lit(region))
+    return ensemble_spread(loaded, cfg)
+
+
 def ensemble_spread(series: DataFrame, cfg: RunConfig, dedupe: bool = False) -> DataFrame:
     """Median and quartiles over models per year, with centred running means.
 

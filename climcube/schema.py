@@ -10,21 +10,9 @@ MANIFEST = "md5 STRING, uri STRING"
 GRID = """
     variable STRING, source STRING, model STRING, experiment STRING,
     time_label DOUBLE, year INT, month INT, day INT,
-    lat DOUBLE, lon DOUBLE, lat_q INT, lon_q INT, value DOUBLE
+    lat DOUBLE, lon DOUBLE, lat_q INT, lon_q INT, value DOUBLE, unit STRING
 """
 
-CLIMATOLOGY = """
-    variable STRING, source STRING, model STRING, lat_q INT, lon_q INT,
-    clim DOUBLE, n_steps BIGINT
-"""
-
-SERIES = """
-    variable STRING, source STRING, model STRING, experiment STRING,
-    region STRING, year INT, anomaly DOUBLE, n_cells BIGINT
-"""
-
-REGION = "region STRING, lat_min DOUBLE, lat_max DOUBLE, lon_min DOUBLE, lon_max DOUBLE"
-
 COUNTRY = "name STRING, ring_id INT, ring ARRAY<STRUCT<x: DOUBLE, y: DOUBLE>>"
 
 # Column groups used as grouping keys.

@@ -5,21 +5,47 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from climcube import schema
 from climcube.config import VARIABLE_ALIASES
-from climcube.functions import geometry, values
+from climcube.functions import geometry, names, values
+from climcube.operators import catalog
 
 PARTITIONS = ("variable", "experiment", "model")
-SORT_KEYS = ("lat_q", "lon_q", "year")
+MOST_LISTED = 10_000
 
 
-def read_grid(spark: SparkSession, *paths: str) -> DataFrame:
-    """Scan decoded grid tables with the fixed schema; several paths are one table."""
+def read_grid(spark: SparkSession, *paths: str, files: bool = False) -> DataFrame:
+    """Scan decoded grid tables with the fixed schema; several paths are one table.
+
+    With ``files`` every row knows the climate file it comes from, ``file_name``.
+    """
     columns = schema.struct_type(schema.GRID).names
-    return spark.read.schema(schema.GRID).parquet(*paths).select(*columns)
+    source = [names.climate_file(F.col("_metadata.file_path")).alias("file_name")] if files else []
+    return spark.read.schema(schema.GRID).parquet(*paths).select(*columns, *source)
+
+
+def read_merged(spark: SparkSession, directory: str, most_listed: int = MOST_LISTED) -> DataFrame:
+    """The grid in a folder of decoded files, each year of a series from one file.
+
+    Versions are chosen on the listing.  Up to ``most_listed`` chosen paths make up the scan, so
+    a file that lost is never opened; beyond that the rows meet the chosen names in a
+    semi join.  The folder may hold ``x.nc.parquet`` files or ``x.nc`` folders of parts.
+    """
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    found = listing.option("pathGlobFilter", "*.parquet").load(directory).select("path")
+    files = found.select("path", names.climate_file(F.col("path")).alias("file_name"))
+    kept = catalog.one_file_per_year(files)
+    paths = [r["path"] for r in kept.select("path").limit(most_listed + 1).collect()]
+    if 0 < len(paths) <= most_listed:
+        return read_grid(spark, *paths, files=True)
+    scan = spark.read.schema(schema.GRID).option("recursiveFileLookup", True).parquet(directory)
+    rows = scan.select(
+        *schema.struct_type(schema.GRID).names, names.climate_file(F.col("_metadata.file_path")).alias("file_name")
+    )
+    return catalog.one_file_per_year(rows, files)
 
 
 def read_countries(spark: SparkSession, path: str) -> DataFrame:
@@ -30,11 +56,13 @@ def write_grid(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write a grid partitioned by variable, experiment and model.
 
     The rebalance hint lets AQE split a partition value that holds far more
-    rows than the others into several even files and merge small ones; the sort
-    makes box and year filters hit row-group statistics.
+    rows than the others into several even files and merge small ones.  Rows are
+    sorted along a space-filling curve over the cells and then by year: neighbours
+    in both directions share row groups, so a small box skips most of them.
     """
     parts = [c for c in PARTITIONS if c in df.columns]
-    order = [c for c in SORT_KEYS if c in df.columns]
+    order = [geometry.curve_key(F.col("lat_q"), F.col("lon_q"))] if {"lat_q", "lon_q"} <= set(df.columns) else []
+    order += [F.col("year")] if "year" in df.columns else []
     (
         df.hint("rebalance", *parts)
         .sortWithinPartitions(*parts, *order)
@@ -61,7 +89,8 @@ def canonical_grid(raw: DataFrame, lon_min: float = -180.0) -> DataFrame:
     """Bring a decoded table to the ``GRID`` columns, once, at ingest.
 
     NaN becomes NULL, precipitation becomes mm/day, the longitude moves to one
-    branch, and the integer cell keys are stored.  The year is the given one,
+    branch, and the integer cell keys and the unit are stored.  A table that was
+    brought there before stays as it is, since its ``unit`` says so.  The year is the given one,
     else that of a ``time`` stamp, else a decimal ``time_label`` without its
     fraction; a table with none of the three is refused.
     """
@@ -75,10 +104,12 @@ def canonical_grid(raw: DataFrame, lon_min: float = -180.0) -> DataFrame:
     if not given:
         raise schema.MissingColumnsError("grid does not contain year, time or time_label")
     lon = geometry.wrap_longitude(F.col("lon"), lon_min)
+    unit = F.col("unit") if "unit" in raw.columns else None
     clean = raw.withColumns(
         {
             "year": F.coalesce(*given),
-            "value": values.convert_units(F.col("variable"), values.nan_to_null(F.col("value"))),
+            "value": values.convert_units(F.col("variable"), values.nan_to_null(F.col("value")), unit),
+            "unit": values.unit_label(F.col("variable")),
             "lon": lon,
             "lat_q": geometry.cell_key(F.col("lat")),
             "lon_q": geometry.cell_key(lon),
@@ -109,7 +140,7 @@ def resolve_variable_rows(
     The best rank is a partial aggregate over the series joined back, so a
     series with very many rows is neither sorted nor gathered.
     """
-    rank = _alias_rank(variable, name_column)
+    rank = alias_rank(variable, name_column)
     ranked = long.withColumn("_rank", rank).filter(F.col("_rank").isNotNull())
     best = ranked.groupBy(*keys).agg(F.min("_rank").alias("_best"))
     return (
@@ -120,7 +151,8 @@ def resolve_variable_rows(
     )
 
 
-def _alias_rank(variable: str, name_column: str):
+def alias_rank(variable: str, name_column: str) -> Column:
+    """Place of a name among those that a variable may have, NULL for another one."""
     chain = reduce(
         lambda acc, pair: acc.when(F.col(name_column) == pair[1], F.lit(pair[0])),
         enumerate(VARIABLE_ALIASES[variable]),

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+import tempfile
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import asdict, is_dataclass
 
@@ -17,13 +19,13 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 class Store:
     """Parquet results under a shared folder, named by stage and parameters.
 
-    The folder is ``root`` where one is given, for results that are to last,
-    else the cluster's ``spark.checkpoint.dir``.  All executors must share it.
+    The folder is the cluster's ``spark.checkpoint.dir``, which all executors
+    share; ``root`` counts only where that is unset, as in tests.
     """
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
-        shared = root or spark.conf.get(CHECKPOINT_SETTING, None)
+        shared = spark.conf.get(CHECKPOINT_SETTING, None) or root
         if not shared:
             raise ValueError(f"set {CHECKPOINT_SETTING} or pass a shared folder")
         self.root = shared.rstrip("/")
@@ -78,6 +80,16 @@ class Store:
         return self.spark.table(name)
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder under the shared one; a local one only in a local session without a shared folder."""
+    shared = spark.conf.get(CHECKPOINT_SETTING, None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="climcube-")
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def _write(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 

@@ -1,12 +1,15 @@
 """The library's input tables, derived from the driver's relational tables.
 
-Grid cells are 15 by 30 degrees, stored with longitudes from 0 to 360.  Line
-items with the flags RO become observations and all others model output, so a
-grid holds its part of the rows; nothing is sampled.
+Grid cells are 15 by 30 degrees, stored with longitudes from 0 to 360.  Every line
+item is a row of the whole grid, where ``source`` tells observations (the flags
+RO) and model output apart.  Analyses that combine sets by their meaning get
+each set from it; all other queries run over the whole grid.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,12 +21,14 @@ from climcube.sources.grids import canonical_grid
 BOUND_MODELS = (*MODELS, "EC-Earth3-Veg-LR", "NorESM2-LM")
 NO_HISTORY = len(BOUND_MODELS) - 1
 FLAG_EXPERIMENTS = {"AF": "historical", "AO": "ssp126", "NF": "ssp245", "NO": "ssp370", "RF": "ssp585"}
+POLAR_AXIS = (-90.0, -80.0, -65.0, -45.0, -30.0, -10.0, 0.0, 5.0, 20.0, 50.0, 75.0, 90.0)
 FILE_VARIABLES = ("tas", "tasmin", "tasmax", "pr", "hurs")
 BASELINE = (1995, 1997)
 FUTURE = (2000, 2001)
 
 CONFIG = RunConfig(baseline=BASELINE, future=FUTURE, running_years=3)
 CONFIG_PR = RunConfig(variable="pr", baseline=BASELINE, future=FUTURE, running_years=3, observations=())
+CONFIG_PR_ALL = RunConfig(variable="pr", baseline=BASELINE, future=FUTURE, running_years=3, observations=(REANALYSIS,))
 CONFIG_ALL_REGIONS = RunConfig(
     baseline=BASELINE, future=FUTURE, running_years=3, regions=tuple(REGIONS.values())
 )
@@ -64,18 +69,21 @@ def _cell() -> dict[str, Column]:
 
 
 def _raw_value(variable: str) -> Column:
-    """Temperature as it is; precipitation as a flux in kg/m²/s."""
-    return F.expr("l_quantity" if variable == "tas" else "l_discount * 6 / 86400")
+    """Temperature as it is; precipitation as a flux in kg/m²/s.
 
+    The many digits keep means off the halves of the last digit that comparisons keep.
+    """
+    return F.expr("l_quantity" if variable == "tas" else "l_discount * 6.371823947D / 86400")
 
-def _lineitem_grid(spark, sf_dir, variable, is_observation, source, model, experiment) -> DataFrame:
-    rows = table(spark, sf_dir, "lineitem")
-    wanted = _flags() == "RO" if is_observation else _flags() != "RO"
-    return rows.filter(wanted).select(
+
+def raw_grid(spark: SparkSession, sf_dir: str, variable: str = "tas") -> DataFrame:
+    """Every line item as a row of one grid, with longitudes from 0 to 360 and unconverted units."""
+    observed = _flags() == "RO"
+    return table(spark, sf_dir, "lineitem").select(
         F.lit(variable).alias("variable"),
-        F.lit(source).alias("source"),
-        model.alias("model"),
-        experiment.alias("experiment"),
+        F.when(observed, REANALYSIS).otherwise("CMIP6").alias("source"),
+        F.when(observed, REANALYSIS).otherwise(_model()).alias("model"),
+        F.when(observed, REANALYSIS).otherwise(_experiment()).alias("experiment"),
         F.year("l_shipdate").alias("year"),
         F.month("l_shipdate").alias("month"),
         *[c.alias(n) for n, c in _cell().items()],
@@ -83,23 +91,23 @@ def _lineitem_grid(spark, sf_dir, variable, is_observation, source, model, exper
     )
 
 
-def raw_model_grid(spark: SparkSession, sf_dir: str, variable: str = "tas") -> DataFrame:
-    """Model output with longitudes from 0 to 360 and unconverted units."""
-    return _lineitem_grid(spark, sf_dir, variable, False, "CMIP6", _model(), _experiment())
+def grid(spark: SparkSession, sf_dir: str, variable: str = "tas") -> DataFrame:
+    """The whole grid: model output and reanalysis."""
+    return canonical_grid(raw_grid(spark, sf_dir, variable))
 
 
 def model_grid(spark: SparkSession, sf_dir: str, variable: str = "tas") -> DataFrame:
-    return canonical_grid(raw_model_grid(spark, sf_dir, variable))
+    return canonical_grid(raw_grid(spark, sf_dir, variable).filter(F.col("source") != REANALYSIS))
 
 
-def reanalysis_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    label = F.lit(REANALYSIS)
-    return canonical_grid(_lineitem_grid(spark, sf_dir, "tas", True, REANALYSIS, label, label))
+def reanalysis_grid(spark: SparkSession, sf_dir: str, variable: str = "tas") -> DataFrame:
+    return canonical_grid(raw_grid(spark, sf_dir, variable).filter(F.col("source") == REANALYSIS))
 
 
-def _station_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _station_cells(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
     lon = geometry.wrap_longitude(_cell()["lon"], -180.0)
-    return table(spark, sf_dir, "lineitem").filter(_flags() == "RO").select(
+    rows = table(spark, sf_dir, "lineitem")
+    return (rows if whole else rows.filter(_flags() == "RO")).select(
         "*",
         _cell()["lat"].alias("lat"),
         lon.alias("lon"),
@@ -116,8 +124,9 @@ def station_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def station_climatology(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells = _station_cells(spark, sf_dir)
+def station_climatology(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+    """Monthly layers of the station set, or of all line items."""
+    cells = _station_cells(spark, sf_dir, whole)
     return cells.groupBy(
         F.month("l_shipdate").alias("month_number"), "lat", "lon", "lat_q", "lon_q"
     ).agg(F.avg(F.col("l_tax") * 100).alias("climatology"))
@@ -144,6 +153,97 @@ def file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def grid_of_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A grid whose rows know the reduced file that they were read from; some years have two versions."""
+    name = names.yearmean_name(_file_name())
+    return table(spark, sf_dir, "lineitem").select(
+        F.explode(F.array(name)).alias("file_name"), F.year("l_shipdate").alias("year"),
+        *[c.alias(n) for n, c in _cell().items()],
+        *[geometry.cell_key(c).alias(f"{n}_q") for n, c in _cell().items()],
+        F.col("l_quantity").alias("value"),
+    )
+
+
+def series_of_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reduced series as providers write them.
+
+    A line item is a value of the file of its supplier and flags.  Files of different suppliers use
+    different names for the variable, some mix two; times are timestamps or decimal years, and years repeat.
+    """
+    first = F.expr("l_suppkey % 3 = 0")
+    alias = (
+        F.when(first & (F.col("l_linenumber") % 2 == 0), "tas").when(first, "var167")
+        .when(F.col("l_suppkey") % 3 == 1, "var167")
+        .when(F.col("l_linenumber") % 4 == 0, "hurs").otherwise("temperature_anomaly")
+    )
+    stamped = F.col("l_suppkey") % 2 == 0
+    decimal = F.year("l_shipdate") + (F.dayofyear("l_shipdate") - 0.5) / 366
+    return table(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit("s"), F.col("l_suppkey").cast("string"), _flags()).alias("file_name"),
+        F.coalesce(F.when(_flags() == "RO", REANALYSIS), _experiment()).alias("experiment"),
+        alias.alias("variable"),
+        F.when(stamped, F.col("l_shipdate").cast("timestamp_ntz")).alias("time"),
+        F.when(~stamped, decimal).alias("time_label"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("position"),
+        (F.col("l_quantity") - 25).alias("value"),
+    )
+
+
+def polar_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole grid on an axis with unequal steps and rows on both poles."""
+    lat = F.expr("element_at(array(" + ", ".join(f"{x}D" for x in POLAR_AXIS) + "), CAST(l_partkey % 12 + 1 AS INT))")
+    return table(spark, sf_dir, "lineitem").select(
+        F.when(_flags() == "RO", REANALYSIS).otherwise(_model()).alias("model"),
+        F.year("l_shipdate").alias("year"), lat.alias("lat"), geometry.cell_key(lat).alias("lat_q"),
+        F.col("l_quantity").alias("value"),
+    )
+
+
+def mixed_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A box per supplier: the globe, half of it, a wide and thin band, a few degrees, and single fine cells."""
+    k = F.col("s_suppkey")
+    kind = k % 5
+    east = (k * 7 % 360).cast("double")
+    lat = ((k * 3 % 100) * 0.1 + 45).cast("double")
+    fine = F.round(F.lit(50.0) + k % 10 * 0.1, 1)
+
+    def pick(*values):
+        return reduce(lambda acc, v: acc.when(kind == v[0], v[1]), enumerate(values), F)
+
+    low, high = F.lit(-90.0), F.lit(90.0)
+    return table(spark, sf_dir, "supplier").select(
+        F.col("s_name").alias("region"),
+        pick(low, low, lat, lat, fine).alias("lat_min"),
+        pick(high, high, F.round(lat + 0.1, 1), lat + 8, fine).alias("lat_max"),
+        pick(F.lit(-180.0), east, F.lit(-180.0), east - 180, F.lit(5.0)).alias("lon_min"),
+        pick(F.lit(180.0), east + 180, F.lit(180.0), east - 172, F.lit(5.0)).alias("lon_max"),
+    )
+
+
+def country_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Corners of polygons as rows, one country per nation.
+
+    Each customer adds a square ring; every third of them has a smaller ring inside, which is a hole and runs
+    the same way as its outer ring.
+    """
+    k = F.col("c_custkey")
+    x, y = (k % 34) * 10 - 180, (k * 5 % 16) * 10 - 85
+    width, height = k % 7 * 4 + 12, k % 5 * 4 + 12
+    outer = [(x, y), (x + width, y), (x + width, y + height), (x, y + height)]
+    inner = [(x + 3, y + 3), (x + width - 3, y + 3), (x + width - 3, y + height - 3), (x + 3, y + height - 3)]
+
+    def ring(number, corners):
+        points = F.array(*[F.struct(F.lit(i).alias("seq"), a.cast("double").alias("x"), b.cast("double").alias("y"))
+                           for i, (a, b) in enumerate(corners)])
+        return F.struct((k * 2 + number).alias("ring_id"), points.alias("points"))
+
+    rings = F.when(k % 3 == 0, F.array(ring(0, outer), ring(1, inner))).otherwise(F.array(ring(0, outer)))
+    rows = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("n_nationkey"), F.explode(rings).alias("r"))
+    named = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("name"))
+    corners = rows.select("n_nationkey", "r.ring_id", F.explode("r.points").alias("p"))
+    return corners.join(named, "n_nationkey").select("name", "ring_id", "p.seq", "p.x", "p.y")
+
+
 def yearmean_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct names of reduced files, the input of the analyses."""
     return file_names(spark, sf_dir).select(

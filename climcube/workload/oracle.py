@@ -36,7 +36,7 @@ _WRAPPED = f"(CASE WHEN {_LON} >= 180 THEN {_LON} - 360 ELSE {_LON} END)"
 _YEAR = "CAST(year(l_shipdate) AS INTEGER)"
 _MONTH = "CAST(month(l_shipdate) AS INTEGER)"
 _TAS = "l_quantity"
-_PR = "(l_discount * 6 / 86400) * 86400"
+_PR = "(l_discount * 6.371823947::DOUBLE / 86400) * 86400"
 
 
 def _grid(value: str = _TAS, lon: str = _WRAPPED) -> str:
@@ -46,10 +46,24 @@ def _grid(value: str = _TAS, lon: str = _WRAPPED) -> str:
   FROM lineitem WHERE l_returnflag || l_linestatus <> 'RO')"""
 
 
-_OBS = f"""obs AS (
+def _whole(value: str = _TAS, lon: str = _WRAPPED) -> str:
+    """Model output and reanalysis in one table."""
+    observed = "l_returnflag || l_linestatus = 'RO'"
+    return f"""grid AS (
+  SELECT CASE WHEN {observed} THEN 'ERA5' ELSE 'CMIP6' END AS source,
+         CASE WHEN {observed} THEN 'ERA5' ELSE {_MODEL} END AS model,
+         CASE WHEN {observed} THEN 'ERA5' ELSE {_EXPERIMENT} END AS experiment, {_YEAR} AS year, {_MONTH} AS month,
+         {_LAT} AS lat, {lon} AS lon, {value} AS value FROM lineitem)"""
+
+
+def _obs(value: str = _TAS, where: str = "l_returnflag || l_linestatus = 'RO'") -> str:
+    return f"""obs AS (
   SELECT {_YEAR} AS year, {_MONTH} AS month, {_LAT} AS lat, {_WRAPPED} AS lon,
-         l_quantity AS value, l_quantity - 25 AS temperature, l_tax * 100 AS tax
-  FROM lineitem WHERE l_returnflag || l_linestatus = 'RO')"""
+         {value} AS value, l_quantity - 25 AS temperature, l_tax * 100 AS tax
+  FROM lineitem WHERE {where})"""
+
+
+_OBS = _obs()
 
 _YEARLY = """yearly AS (
   SELECT model, experiment, lat, lon, year, avg(value) AS value, count(value) AS n_steps
@@ -148,7 +162,7 @@ def _level(value: str, variable: str) -> str:
 
 
 def _map_levels(variable: str, value: str) -> str:
-    return _with(*_map_ctes(value)) + f"""SELECT '{variable}' AS variable, experiment, lat, lon,
+    return _with(*_map_ctes(value)) + f"""SELECT '{variable}' AS variable, experiment, 'global_north' AS region, lat, lon,
   anomaly, n_models, {_level('anomaly', variable)} AS level
 FROM (SELECT experiment, lat, lon, {_r('anomaly', 'anomaly')}, n_models FROM maps)"""
 
@@ -253,7 +267,7 @@ def _hits(region: str) -> str:
 def statements() -> dict[str, str]:
     sql: dict[str, str] = {}
 
-    sql["yearly_mean"] = _with(_grid(), _YEARLY) + f"""
+    sql["yearly_mean"] = _with(_whole(), _YEARLY) + f"""
 SELECT lat, lon, model, experiment, year, {_r('value', 'value')}, n_steps FROM yearly"""
     sql["climatology"] = _with(_grid(), _YEARLY, _CLIM) + f"""
 SELECT lat, lon, model, {_r('clim', 'clim')}, n_steps FROM clim"""
@@ -261,10 +275,10 @@ SELECT lat, lon, model, {_r('clim', 'clim')}, n_steps FROM clim"""
 SELECT lat, lon, {_r('avg(value)', 'clim')}, count(value) AS n_steps
 FROM (SELECT lat, lon, year, avg(value) AS value FROM obs GROUP BY ALL)
 WHERE year {_BASE} GROUP BY lat, lon"""
-    sql["period_mean"] = _with(_grid(), _YEARLY) + f"""
+    sql["period_mean"] = _with(_whole(), _YEARLY) + f"""
 SELECT lat, lon, model, experiment, {_r('avg(value)', 'value')}, count(value) AS n_steps
 FROM yearly WHERE year {_FUTURE} GROUP BY lat, lon, model, experiment"""
-    sql["monthly_to_annual"] = _with(_OBS, _MONTHLY) + f"""
+    sql["monthly_to_annual"] = _with(_obs(where="true"), _MONTHLY) + f"""
 SELECT lat, lon, {_r('climatology', 'climatology')} FROM annual"""
     sql["dedupe_time"] = f"""
 SELECT o_custkey AS series, CAST(year(o_orderdate) AS INTEGER) AS year,
@@ -275,19 +289,18 @@ SELECT o_orderpriority AS variable, CAST(year(o_orderdate) AS INTEGER) AS normal
        count(*) AS n, {_r('sum(o_totalprice)', 'total')}
 FROM orders GROUP BY 1, 2"""
 
-    sql["box_select"] = _with(_grid(lon=_LON)) + f"""
+    sql["box_select"] = _with(_whole(lon=_LON)) + f"""
 SELECT lat, lon, count(*) AS n, {_r('sum(value)', 'total')} FROM grid
 WHERE lat BETWEEN -30 AND 30 AND lon BETWEEN 0 AND 180 GROUP BY lat, lon"""
-    sql["box_select_wrap"] = _with(_grid()) + f"""
+    sql["box_select_wrap"] = _with(_whole()) + f"""
 SELECT lat, lon, count(*) AS n, {_r('sum(value)', 'total')} FROM grid
 WHERE lat BETWEEN 35 AND 72 AND lon BETWEEN -25 AND 45 GROUP BY lat, lon"""
-    sql["region_join"] = _with(_grid(), _REGIONS) + f"""
+    sql["region_join"] = _with(_whole(), _REGIONS) + f"""
 SELECT region, experiment, count(*) AS n, {_r('avg(value)', 'mean_value')}
 FROM grid JOIN regions ON lat BETWEEN lat_min AND lat_max AND lon BETWEEN lon_min AND lon_max
 GROUP BY region, experiment"""
-    sql["region_join_table"] = _with(_OBS) + f""",
-yearly AS (SELECT lat, lon, year, avg(value) AS value FROM obs GROUP BY ALL),
-clim AS (SELECT lat, lon, avg(value) AS clim FROM yearly WHERE year {_BASE} GROUP BY ALL),
+    sql["region_join_table"] = _with(_whole(), _YEARLY) + f""",
+clim AS (SELECT model, lat, lon, avg(value) AS clim FROM yearly WHERE year {_BASE} GROUP BY ALL),
 boxes AS (
   SELECT c_name AS region, c_custkey, CAST((c_custkey % 15) * 10 - 80 AS DOUBLE) AS lat_min,
          CAST(((c_custkey // 15) % 24) * 15 - 180 AS DOUBLE) AS lon_min FROM customer)
@@ -297,10 +310,10 @@ FROM boxes JOIN clim ON lat BETWEEN lat_min AND lat_min + 5 + c_custkey % 20
        OR lon + 360 BETWEEN lon_min AND lon_min + 10 + c_custkey % 50)
 GROUP BY region"""
     band = "(sin(radians(least(lat + 7.5, 90))) - sin(radians(greatest(lat - 7.5, -90))))"
-    sql["field_mean_area"] = _with(_grid(), _YEARLY) + f"""
+    sql["field_mean_area"] = _with(_whole(), _YEARLY) + f"""
 SELECT model, experiment, year, {_r(f'sum(value * {band}) / sum({band})', 'value')},
        count(value) AS n_cells FROM yearly GROUP BY model, experiment, year"""
-    sql["field_mean_plain"] = _with(_grid(), _YEARLY) + f"""
+    sql["field_mean_plain"] = _with(_whole(), _YEARLY) + f"""
 SELECT model, experiment, year, {_r('avg(value)', 'value')}, count(value) AS n_cells
 FROM yearly GROUP BY model, experiment, year"""
 
@@ -329,6 +342,94 @@ SELECT 'tas' AS variable, 'Berkeley' AS source, 'Berkeley' AS model, 'Berkeley'
     sql["precipitation_series"] = _with(*_series_ctes(_PR), _MODEL_SERIES) + f"""
 SELECT 'pr' AS variable, 'CMIP6' AS source, model, experiment, region, year,
        {_r('anomaly', 'anomaly')}, n_cells FROM model_series"""
+    sql["precipitation_all_series"] = _with(*_series_ctes(_PR), _MODEL_SERIES, _obs(_PR), _ERA) + f"""
+SELECT 'pr' AS variable, 'CMIP6' AS source, model, experiment, region, year,
+       {_r('anomaly', 'anomaly')}, n_cells FROM model_series
+UNION ALL SELECT 'pr', 'ERA5', 'ERA5', 'ERA5', 'global_north', year, {_r('anomaly', 'anomaly')}, n_cells FROM era_series"""
+    sql["merge_time_versions"] = f"""
+WITH files AS (SELECT {_FILE} AS file_name, {_YEAR} AS year, {_LAT} AS lat, {_LON} AS lon, l_quantity AS value FROM lineitem),
+named AS (SELECT {_token(0)} AS variable, {_token(2)} AS model, {_token(3)} AS experiment, * FROM files),
+chosen AS (
+  SELECT variable, model, experiment, year, coalesce(min(file_name) FILTER (contains(file_name, '_v1.2')), min(file_name)) AS file_name
+  FROM named GROUP BY variable, model, experiment, year),
+yearly AS (SELECT variable, model, experiment, lat, lon, year, avg(value) AS value
+           FROM named SEMI JOIN chosen USING (variable, model, experiment, year, file_name) GROUP BY ALL)
+SELECT variable, model, experiment, lat, lon, {_r('avg(value)', 'clim')}, count(value) AS n_steps
+FROM yearly WHERE year {_BASE} GROUP BY variable, model, experiment, lat, lon"""
+    sql["incremental_yearly"] = _with(_whole()) + f"""
+SELECT source, model, experiment, lat, lon, year, {_r('avg(value)', 'value')}, count(value) AS n_steps
+FROM grid GROUP BY source, model, experiment, lat, lon, year"""
+    loaded = f"""values AS (
+  SELECT 's' || CAST(l_suppkey AS VARCHAR) || l_returnflag || l_linestatus AS file_name,
+         CASE WHEN l_returnflag || l_linestatus = 'RO' THEN 'ERA5' ELSE {_EXPERIMENT} END AS experiment, {_YEAR} AS year,
+         CASE l_suppkey % 3 WHEN 0 THEN l_linenumber % 2 WHEN 1 THEN 1
+              ELSE CASE WHEN l_linenumber % 4 <> 0 THEN 2 END END AS place,
+         l_orderkey * 10 + l_linenumber AS position, l_quantity - 25 AS value FROM lineitem),
+best AS (SELECT *, min(place) OVER (PARTITION BY file_name, experiment) AS least FROM values),
+loaded AS (SELECT file_name, experiment, year, arg_min(value, position) AS anomaly, count(*) - 1 AS n_repeats
+           FROM best WHERE place = least GROUP BY file_name, experiment, year)"""
+    sql["series_load"] = _with(loaded) + f"""
+SELECT file_name, experiment, year, {_r('anomaly', 'anomaly')}, n_repeats FROM loaded"""
+    sql["spread_from_files"] = _with(loaded, """all_series AS (
+  SELECT 'tas' AS variable, experiment, 'global_north' AS region, year, anomaly FROM loaded)""", _QUANTILES) + f"""
+SELECT variable, experiment, region, year, {_r('p25', 'p25')}, {_r('p50', 'p50')}, {_r('p75', 'p75')},
+       n_models, {_running('p25')}, {_running('p50')}, {_running('p75')}
+FROM spread WINDOW w AS (PARTITION BY variable, experiment, region ORDER BY year
+                         ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING)"""
+    axis = "[-90, -80, -65, -45, -30, -10, 0, 5, 20, 50, 75, 90]"
+    sql["field_mean_bounds"] = f"""
+WITH polar AS (
+  SELECT CASE WHEN l_returnflag || l_linestatus = 'RO' THEN 'ERA5' ELSE {_MODEL} END AS model, {_YEAR} AS year,
+         CAST({axis}[CAST(l_partkey % 12 + 1 AS INTEGER)] AS DOUBLE) AS lat, l_quantity AS value FROM lineitem),
+yearly AS (SELECT model, lat, year, avg(value) AS value FROM polar GROUP BY ALL),
+bands AS (SELECT model, lat, sin(radians(coalesce((lat + lead(lat) OVER w) / 2, 90)))
+                             - sin(radians(coalesce((lat + lag(lat) OVER w) / 2, -90))) AS weight
+          FROM (SELECT DISTINCT model, lat FROM polar) WINDOW w AS (PARTITION BY model ORDER BY lat))
+SELECT model, year, {_r('sum(value * weight) / sum(weight)', 'value')}, count(value) AS n_cells
+FROM yearly JOIN bands USING (model, lat) GROUP BY model, year"""
+    sql["region_join_mixed"] = f"""
+WITH cells AS (
+  SELECT y, x, count(*) AS n FROM (
+    SELECT 500 + l_partkey % 10 AS y, 50 + l_partkey // 10 % 10 AS x FROM lineitem
+    UNION ALL SELECT l_partkey % 12 * 150 - 825, (l_partkey // 12 % 12 * 300 + 150 + 1800) % 3600 - 1800 FROM lineitem)
+  GROUP BY y, x),
+boxes AS (
+  SELECT s_name AS region, k % 5 AS kind, k * 7 % 360 * 10 AS east, k * 3 % 100 + 450 AS lat, 500 + k % 10 AS fine
+  FROM (SELECT s_name, s_suppkey AS k FROM supplier)),
+bounds AS (
+  SELECT region, CASE kind WHEN 4 THEN fine WHEN 3 THEN lat WHEN 2 THEN lat ELSE -900 END AS y1,
+         CASE kind WHEN 4 THEN fine WHEN 3 THEN lat + 80 WHEN 2 THEN lat + 1 ELSE 900 END AS y2,
+         CASE kind WHEN 4 THEN 50 WHEN 3 THEN east - 1800 WHEN 1 THEN east ELSE -1800 END AS x1,
+         CASE kind WHEN 4 THEN 0 WHEN 3 THEN 80 WHEN 1 THEN 1800 ELSE 3600 END AS width FROM boxes)
+SELECT region, count(*) AS n_cells, CAST(sum(n) AS BIGINT) AS n_rows
+FROM bounds JOIN cells ON y BETWEEN y1 AND y2 AND (x - x1 + 7200) % 3600 <= width GROUP BY region"""
+    sql["cells_in_country"] = _with(_whole()) + """,
+squares AS (
+  SELECT n_name AS name, k, (k % 34) * 10 - 180 AS x, (k * 5 % 16) * 10 - 85 AS y, k % 7 * 4 + 12 AS w, k % 5 * 4 + 12 AS h
+  FROM (SELECT c_nationkey AS n_nationkey, c_custkey AS k FROM customer) JOIN nation USING (n_nationkey)),
+rings AS (SELECT name, x AS x1, x + w AS x2, y AS y1, y + h AS y2 FROM squares
+          UNION ALL SELECT name, x + 3, x + w - 3, y + 3, y + h - 3 FROM squares WHERE k % 3 = 0),
+sides AS (SELECT name, x1 AS x, y1, y2 FROM rings UNION ALL SELECT name, x2, y1, y2 FROM rings),
+west AS (SELECT name, min(x1) AS x0 FROM rings GROUP BY name),
+cells AS (SELECT lat, lon, count(*) AS n FROM grid GROUP BY lat, lon),
+turned AS (SELECT name, lat, lon, n, lon + 360 * ceil((x0 - lon) / 360) AS east FROM cells, west)
+SELECT name, lat, lon, n FROM turned JOIN sides USING (name)
+WHERE (y1 > lat) <> (y2 > lat) AND east < x GROUP BY name, lat, lon, n HAVING count(*) % 2 = 1"""
+    sql["acquisition_accounting"] = _with(*_SKIP_CTES) + f""",
+listed AS (SELECT l_orderkey % 10 AS k, {_FILE} AS file_name FROM lineitem),
+first AS (
+  SELECT CASE WHEN k > 1 THEN file_name END AS file_name,
+         CASE WHEN k = 0 THEN 'no uri' WHEN k = 1 THEN 'no file name' WHEN k = 3 THEN 'no digest'
+              WHEN NOT {_ANY_MODEL} THEN 'other model' WHEN NOT {_WANTED} THEN 'other variable' END AS why FROM listed),
+best AS (
+  SELECT coalesce(max(CASE WHEN contains(file_name, '_v1.2') THEN file_name END), max(file_name)) AS file_name, true AS best
+  FROM first WHERE why IS NULL GROUP BY {_STEM}),
+st AS (
+  SELECT coalesce(why, CASE WHEN best IS NULL THEN 'other version' END, skip_reason,
+                  CASE WHEN state IN (3, 4) THEN 'ok' WHEN state = 5 THEN 'mismatch' ELSE 'missing' END) AS status,
+         {_token(3)} AS experiment, {_token(2)} AS model
+  FROM first LEFT JOIN best USING (file_name) LEFT JOIN skipped USING (file_name) LEFT JOIN states USING (file_name))
+{_rollup('st')}"""
     sql["observation_sources"] = _with(_ALL_CTES) + """
 SELECT source, count(*) AS n_years FROM all_series WHERE source IN ('ERA5', 'Berkeley') GROUP BY source"""
 
@@ -348,16 +449,16 @@ FROM (SELECT DISTINCT experiment, year FROM model_series) t
 CROSS JOIN (SELECT unnest({_MODEL_LIST}) AS model) m
 LEFT JOIN model_series s ON s.experiment = t.experiment AND s.year = t.year AND s.model = m.model"""
     sql["ensemble_map"] = _with(*_map_ctes()) + f"""
-SELECT 'tas' AS variable, experiment, lat, lon, {_r('anomaly', 'anomaly')}, n_models FROM maps"""
+SELECT 'tas' AS variable, experiment, 'global_north' AS region, lat, lon, {_r('anomaly', 'anomaly')}, n_models FROM maps"""
     sql["ensemble_map_levels"] = _map_levels("tas", _TAS)
     sql["precipitation_map_levels"] = _map_levels("pr", _PR)
     sql["map_sign_shares"] = _with(*_map_ctes()) + f"""
-SELECT 'tas' AS variable, experiment,
+SELECT 'tas' AS variable, experiment, 'global_north' AS region,
        {_r('avg(CASE WHEN a > 0 THEN 1.0 WHEN a IS NOT NULL THEN 0.0 END)', 'share_up')},
        {_r('avg(CASE WHEN a < 0 THEN 1.0 WHEN a IS NOT NULL THEN 0.0 END)', 'share_down')},
        count(a) AS n_cells
 FROM (SELECT experiment, round(anomaly, 6) AS a FROM maps) GROUP BY experiment"""
-    sql["level_census"] = _with(_grid(_PR)) + f"""
+    sql["level_census"] = _with(_whole(_PR)) + f"""
 SELECT experiment, {_level('v', 'pr')} AS level, count(*) AS n
 FROM (SELECT experiment, round(value - 0.3, 6) AS v FROM grid) GROUP BY 1, 2"""
     sql["model_availability"] = _with(_grid(), _YEARLY, _CLIM) + f"""
@@ -375,7 +476,7 @@ SELECT region, experiment, {_r('change', 'change')},
 FROM (SELECT region, experiment, avg(p50) AS change FROM (
         SELECT region, experiment, year, quantile_cont(anomaly, 0.5) AS p50
         FROM region_series GROUP BY region, experiment, year)
-      WHERE year {_FUTURE} GROUP BY region, experiment)"""
+      WHERE year {_FUTURE} AND experiment LIKE 'ssp%' GROUP BY region, experiment)"""
 
     sql["duplicate_report"] = """
 SELECT o_custkey AS series, CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n_rows
@@ -386,17 +487,17 @@ SELECT o_custkey AS series, CAST(min(year(o_orderdate)) AS INTEGER) AS first_yea
        count(DISTINCT year(o_orderdate)) AS n_years, count(*) AS n_rows,
        array_to_string(list_sort(list(DISTINCT o_orderpriority)), ',') AS variables
 FROM orders GROUP BY o_custkey"""
-    sql["coverage_gaps"] = _with(_grid()) + """
+    sql["coverage_gaps"] = _with(_whole()) + """
 SELECT s.model, s.experiment, CAST(y.year AS INTEGER) AS year, CAST(m.month AS INTEGER) AS month
 FROM (SELECT DISTINCT model, experiment FROM grid) s
 CROSS JOIN (SELECT unnest(range(1994, 2003)) AS year) y
 CROSS JOIN (SELECT unnest(range(1, 13)) AS month) m
 WHERE NOT EXISTS (SELECT 1 FROM grid g WHERE g.model = s.model AND g.experiment = s.experiment
                   AND g.year = y.year AND g.month = m.month)"""
-    sql["coverage_by_year"] = _with(_OBS) + """
+    sql["coverage_by_year"] = _with(_obs(where="true")) + """
 SELECT CAST(y.year AS INTEGER) AS year, 12 - count(DISTINCT o.month) AS n_missing
 FROM (SELECT unnest(range(1994, 2003)) AS year) y LEFT JOIN obs o ON o.year = y.year GROUP BY y.year"""
-    sql["coverage_audit"] = _with(_grid()) + """,
+    sql["coverage_audit"] = _with(_whole()) + """,
 span AS (SELECT model, experiment, lat, lon, y.year AS year
   FROM (SELECT DISTINCT model, experiment, lat, lon FROM grid)
   CROSS JOIN (SELECT CAST(unnest(range(1995, 2002)) AS INTEGER) AS year) y),
@@ -408,9 +509,9 @@ SELECT {_token(0)} AS variable,
        CASE WHEN {_NAME_YEAR} IS NULL THEN 'no year in name' ELSE 'unwanted variable' END AS reason,
        count(*) AS n
 FROM files WHERE {_NAME_YEAR} IS NULL OR NOT {_WANTED} GROUP BY 1, 2"""
-    sql["missing_values"] = _with(_grid("CASE WHEN l_quantity <= 40 THEN l_quantity END"), _YEARLY) + f"""
+    sql["missing_values"] = _with(_whole("CASE WHEN l_quantity <= 40 THEN l_quantity END"), _YEARLY) + f"""
 SELECT lat, lon, model, experiment, year, {_r('value', 'value')}, n_steps FROM yearly"""
-    sql["unit_conversion"] = _with(_grid(f"{_TAS} AS tas, {_PR}")) + f"""
+    sql["unit_conversion"] = _with(_whole(f"{_TAS} AS tas, {_PR}")) + f"""
 SELECT 'tas' AS variable, '°C' AS unit, experiment, count(tas) AS n,
        {_r('avg(tas)', 'mean_value')}, {_r('max(tas)', 'highest')} FROM grid GROUP BY experiment
 UNION ALL

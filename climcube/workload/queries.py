@@ -13,8 +13,9 @@ from climcube.functions import names, values
 from climcube.operators import anomaly, catalog, countries, ensemble, quality, space, temporal
 from climcube.plans import audit, labels, maps, series
 from climcube.schema import CELL, SERIES_KEYS
-from climcube.sources import calendar, grids
+from climcube.sources import calendar, grids, incremental
 from climcube.sources.manifest import parse_names, skip_empty
+from climcube.sources.store import scratch_folder
 from climcube.workload import bindings as b
 
 DIGITS = 6
@@ -57,7 +58,7 @@ def _on_cells(df: DataFrame, *columns: str) -> DataFrame:
 
 @query
 def yearly_mean(spark, sf_dir):
-    means = temporal.yearly_mean(b.model_grid(spark, sf_dir))
+    means = temporal.yearly_mean(b.grid(spark, sf_dir))
     return _on_cells(means, "model", "experiment", "year", "value", "n_steps")
 
 
@@ -75,14 +76,14 @@ def reference_mean(spark, sf_dir):
 
 @query
 def period_mean(spark, sf_dir):
-    yearly = temporal.yearly_mean(b.model_grid(spark, sf_dir))
+    yearly = temporal.yearly_mean(b.grid(spark, sf_dir))
     means = temporal.period_mean(yearly, *b.FUTURE)
     return _on_cells(means, "model", "experiment", "value", "n_steps")
 
 
 @query
 def monthly_to_annual(spark, sf_dir):
-    return _on_cells(temporal.monthly_to_annual(b.station_climatology(spark, sf_dir)), "climatology")
+    return _on_cells(temporal.monthly_to_annual(b.station_climatology(spark, sf_dir, whole=True)), "climatology")
 
 
 @query
@@ -118,17 +119,17 @@ def _cell_totals(df: DataFrame) -> DataFrame:
 @query
 def box_select(spark, sf_dir):
     box = Region("tropics_east", -30.0, 30.0, 0.0, 180.0)
-    return _cell_totals(space.select_box(b.raw_model_grid(spark, sf_dir), box, wrap=False))
+    return _cell_totals(space.select_box(b.raw_grid(spark, sf_dir), box, wrap=False))
 
 
 @query
 def box_select_wrap(spark, sf_dir):
-    return _cell_totals(space.select_box(b.raw_model_grid(spark, sf_dir), REGIONS["europe"]))
+    return _cell_totals(space.select_box(b.raw_grid(spark, sf_dir), REGIONS["europe"]))
 
 
 @query
 def region_join(spark, sf_dir):
-    placed = space.assign_regions(b.model_grid(spark, sf_dir), tuple(REGIONS.values()))
+    placed = space.assign_regions(b.grid(spark, sf_dir), tuple(REGIONS.values()))
     return placed.groupBy("region", "experiment").agg(
         F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean_value")
     )
@@ -137,7 +138,7 @@ def region_join(spark, sf_dir):
 @query
 def region_join_table(spark, sf_dir):
     clim = series.with_degrees(
-        temporal.climatology(temporal.yearly_mean(b.reanalysis_grid(spark, sf_dir)), *b.BASELINE, None)
+        temporal.climatology(temporal.yearly_mean(b.grid(spark, sf_dir)), *b.BASELINE, None)
     )
     placed = space.region_cells(clim, b.customer_regions(spark, sf_dir))
     return placed.groupBy("region").agg(
@@ -146,7 +147,7 @@ def region_join_table(spark, sf_dir):
 
 
 def _yearly_fields(spark, sf_dir) -> DataFrame:
-    return series.with_degrees(temporal.yearly_mean(b.model_grid(spark, sf_dir)))
+    return series.with_degrees(temporal.yearly_mean(b.grid(spark, sf_dir)))
 
 
 @query
@@ -234,6 +235,88 @@ def precipitation_series(spark, sf_dir):
     return series.all_series(b.model_grid(spark, sf_dir, "pr"), b.CONFIG_PR)
 
 
+@query
+def precipitation_all_series(spark, sf_dir):
+    """Models and reanalysis; the station set holds temperature only."""
+    return series.all_series(
+        b.model_grid(spark, sf_dir, "pr"), b.CONFIG_PR_ALL, b.reanalysis_grid(spark, sf_dir, "pr")
+    )
+
+
+@query
+def merge_time_versions(spark, sf_dir):
+    """Climatology of files of which some years have two versions: each year counts once."""
+    merged = catalog.one_file_per_year(b.grid_of_files(spark, sf_dir))
+    keys = ("variable", "model", "experiment")
+    yearly = temporal.yearly_mean(parse_names(merged).withColumn("source", F.lit("CMIP6")))
+    clim = temporal.climatology(yearly, *b.BASELINE, experiment=None, keys=(*keys, *CELL))
+    return _on_cells(clim, *keys, "clim", "n_steps")
+
+
+@query
+def incremental_yearly(spark, sf_dir):
+    """Yearly means of a state that met the files of some years first and then all of them."""
+    rows = b.grid(spark, sf_dir)
+    # a file per variable, experiment, model and month; the later ones arrive with the second listing
+    path = F.concat_ws("/", "variable", "experiment", "model", F.col("year").cast("string"), F.col("month").cast("string"))
+    files = rows.select(*incremental.PARTITIONS, path.alias("path"), F.lit("1").alias("stamp")).distinct()
+    state = incremental.YearlyState(spark, scratch_folder(spark, "yearly-state"))
+
+    def read(paths):
+        return rows.withColumn("path", path).join(paths, "path", "left_semi")
+
+    state.update(files.filter("year < 1997 OR (year = 1997 AND path NOT LIKE '%/12')"), read)
+    state.update(files, read)
+    return _on_cells(state.yearly(), "source", "model", "experiment", "year", "value", "n_steps")
+
+
+@query
+def series_load(spark, sf_dir):
+    """Values of provider files after name, unit, time and repeats are settled."""
+    loaded = series.load_series(b.series_of_files(spark, sf_dir), "tas")
+    return loaded.select(F.col("model").alias("file_name"), "experiment", "year", "anomaly", "n_repeats")
+
+
+@query
+def spread_from_files(spark, sf_dir):
+    return series.spread_from_files(b.series_of_files(spark, sf_dir), b.CONFIG, "global_north")
+
+
+@query
+def field_mean_bounds(spark, sf_dir):
+    """Area mean on an axis of unequal steps with rows on the poles."""
+    yearly = temporal.yearly_mean(b.polar_grid(spark, sf_dir), ("model", "lat_q"))
+    weighted = space.with_band_weights(yearly, ("model",))
+    return space.field_mean(weighted, "value", ("model", "year"), "column")
+
+
+@query
+def region_join_mixed(spark, sf_dir):
+    """Boxes from the globe down to single cells, over the cells of a fine and of a coarse grid."""
+    fine = grids.canonical_grid(b.fine_grid(spark, sf_dir)).select("lat", "lon")
+    coarse = b.grid(spark, sf_dir).select("lat", "lon")
+    cells = fine.union(coarse).groupBy("lat", "lon").agg(F.count(F.lit(1)).alias("n"))
+    placed = space.region_cells(cells, b.mixed_regions(spark, sf_dir))
+    return placed.groupBy("region").agg(F.count(F.lit(1)).alias("n_cells"), F.sum("n").alias("n_rows"))
+
+
+@query
+def cells_in_country(spark, sf_dir):
+    """Cells inside polygons with holes and islands, given as corners."""
+    cells = b.grid(spark, sf_dir).groupBy("lat", "lon").agg(F.count(F.lit(1)).alias("n"))
+    edges = countries.edges_from_points(b.country_points(spark, sf_dir))
+    return countries.cells_in_countries(cells, edges).select("name", "lat", "lon", "n")
+
+
+@query
+def acquisition_accounting(spark, sf_dir):
+    """Every manifest row under exactly one status."""
+    found = audit.account(
+        b.careless_manifest(spark, sf_dir), b.existing_files(spark, sf_dir), b.local_digests(spark, sf_dir)
+    )
+    return catalog.status_summary(found)
+
+
 # --- ensembles ----------------------------------------------------------------------
 
 
@@ -280,7 +363,7 @@ def map_sign_shares(spark, sf_dir):
 @query
 def level_census(spark, sf_dir):
     """Display level of every single time step, counted."""
-    grid = b.model_grid(spark, sf_dir, "pr")
+    grid = b.grid(spark, sf_dir, "pr")
     shown = ensemble.classify(
         grid.withColumn("value", F.round(F.col("value") - 0.3, DIGITS)), LEVEL_EDGES["pr"], "value"
     )
@@ -335,19 +418,19 @@ def series_profile(spark, sf_dir):
 
 @query
 def coverage_gaps(spark, sf_dir):
-    grid = b.model_grid(spark, sf_dir)
+    grid = b.grid(spark, sf_dir)
     return quality.coverage_gaps(grid, ["model", "experiment"], 1994, 2002)
 
 
 @query
 def coverage_by_year(spark, sf_dir):
     wanted = calendar.request_calendar(spark, 1994, 2002)
-    return quality.missing_months(wanted, b.reanalysis_grid(spark, sf_dir))
+    return quality.missing_months(wanted, b.grid(spark, sf_dir))
 
 
 @query
 def coverage_audit(spark, sf_dir):
-    grid = b.model_grid(spark, sf_dir)
+    grid = b.grid(spark, sf_dir)
     found = audit.audit_coverage(grid, ["model", "experiment", *CELL], 1995, 2001)
     return _on_cells(found, "model", "experiment", "year", "n_missing")
 
@@ -367,7 +450,7 @@ def rejected_files(spark, sf_dir):
 @query
 def missing_values(spark, sf_dir):
     """NaN marks missing steps; means skip them and all-missing cells stay missing."""
-    raw = b.raw_model_grid(spark, sf_dir)
+    raw = b.raw_grid(spark, sf_dir)
     with_gaps = raw.withColumn(
         "value", F.when(F.col("value") > 40, float("nan")).otherwise(F.col("value"))
     )
@@ -377,8 +460,8 @@ def missing_values(spark, sf_dir):
 
 @query
 def unit_conversion(spark, sf_dir):
-    both = b.raw_model_grid(spark, sf_dir).unionByName(b.raw_model_grid(spark, sf_dir, "pr"))
-    converted = grids.canonical_grid(both).withColumn("unit", values.unit_label(F.col("variable")))
+    both = b.raw_grid(spark, sf_dir).unionByName(b.raw_grid(spark, sf_dir, "pr"))
+    converted = grids.canonical_grid(grids.canonical_grid(both))
     return converted.groupBy("variable", "unit", "experiment").agg(
         F.count("value").alias("n"), F.avg("value").alias("mean_value"), F.max("value").alias("highest")
     )
