@@ -206,8 +206,9 @@ def scenario_rank(
     return means.withColumn("position", F.rank().over(w))
 
 
-def sign_shares(maps: DataFrame, keys: Sequence[str] = GROUP) -> DataFrame:
-    """Share of cells that become wetter (warmer) and drier (cooler)."""
+def sign_shares(maps: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
+    """Share of cells that become wetter (warmer) and drier (cooler), per region if the maps name one."""
+    keys = [k for k in GROUP if k in maps.columns] if keys is None else keys
 
     def share(test):
         return F.avg(F.when(F.col("anomaly").isNotNull(), test.cast("double")))

@@ -49,9 +49,8 @@ class YearlyState:
         """
         now = files.select(*PARTITIONS, "path", "stamp").withColumn("_now", F.lit(True))
         ledger = self._table("ledger")
-        if ledger is None:
-            return now.select(*PARTITIONS, "path", F.lit("rebuild").alias("action"))
-        old = ledger.filter("path IS NOT NULL").select(*PARTITIONS, "path", "stamp").withColumn("_old", F.lit(True))
+        known = now.filter(F.lit(False)) if ledger is None else ledger.filter("path IS NOT NULL")
+        old = known.select(*PARTITIONS, "path", "stamp").withColumn("_old", F.lit(True))
         seen = now.unionByName(old, allowMissingColumns=True).groupBy(*PARTITIONS, "path", "stamp").agg(
             F.max("_now").alias("_now"), F.max("_old").alias("_old")
         )
@@ -126,8 +125,9 @@ class YearlyState:
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
 
     def _table(self, name: str) -> DataFrame | None:
-        store, marker = self._path(f"{name}/_SUCCESS")
-        if not store.exists(marker):
+        # a write of single partitions leaves no marker; partitions appear whole, and notes cover a stopped write
+        store, parts = self._path(f"{name}/{PARTITIONS[0]}=*")
+        if not store.globStatus(parts):
             return None
         rows = self.spark.read.parquet(f"{self.root}/{name}")
         return rows.withColumns({p: F.col(p).cast(kind) for p, kind in _KINDS.items()})

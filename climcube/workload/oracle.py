@@ -366,7 +366,7 @@ FROM grid GROUP BY source, model, experiment, lat, lon, year"""
               ELSE CASE WHEN l_linenumber % 4 <> 0 THEN 2 END END AS place,
          l_orderkey * 10 + l_linenumber AS position, l_quantity - 25 AS value FROM lineitem),
 best AS (SELECT *, min(place) OVER (PARTITION BY file_name, experiment) AS least FROM values),
-loaded AS (SELECT file_name, experiment, year, arg_min(value, position) AS anomaly, count(*) - 1 AS n_repeats
+loaded AS (SELECT file_name, experiment, year, arg_min(value, ROW(position, value)) AS anomaly, count(*) - 1 AS n_repeats
            FROM best WHERE place = least GROUP BY file_name, experiment, year)"""
     sql["series_load"] = _with(loaded) + f"""
 SELECT file_name, experiment, year, {_r('anomaly', 'anomaly')}, n_repeats FROM loaded"""
