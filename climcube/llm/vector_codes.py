@@ -276,7 +276,7 @@ def _seeds(kept: DataFrame, dims: int) -> np.ndarray:
     rows = kept.filter(F.col("vec_id").isin(ids)).groupBy("vec_id").agg(F.min("embedding").alias("v")).collect()
     listed = [list(r["v"]) + [0.0] * (dims - len(r["v"])) for r in sorted(rows, key=lambda r: r["vec_id"])]
     whole = integers(np.array(listed, np.float64).reshape(len(rows), dims))
-    return np.ascontiguousarray(whole.reshape(len(rows), PARTS, -1).swapaxes(0, 1))
+    return np.ascontiguousarray(whole.reshape(len(rows), PARTS, dims // PARTS).swapaxes(0, 1))
 
 
 def _blocks_type(kept: DataFrame) -> T.StructType:
