@@ -61,10 +61,13 @@ def pick_year_files(
     """One file per series and year, a re-issued one first and then by name.
 
     ``files`` holds parsed names.  Without this a year that two files cover counts
-    twice in every mean.  A file without a year stands for itself.
+    twice in every mean.  A year at the end of a name counts, too, which ``year`` does
+    not hold; a file without any year stands for itself and its re-issue.
     """
     name = F.col(column)
-    same = F.coalesce(F.col("year").cast("string"), names.version_base(name))
+    base = names.version_base(name)
+    last = F.nullif(F.regexp_extract(base, "_([0-9]{4})$", 1), F.lit(""))
+    same = F.coalesce(F.col("year").cast("string"), last, base)
     w = Window.partitionBy(*keys, same).orderBy(names.version_of(name).desc_nulls_last(), name)
     return files.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 

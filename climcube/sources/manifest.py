@@ -86,7 +86,8 @@ def read_digests(
 
     Files up to ``most_bytes`` are digested inside the scan.  A row cannot hold a
     larger one: those are dealt to tasks by path and read in blocks, so a task
-    holds one block.  A file is read once, by one of the two ways.
+    holds one block.  A file is read once, by one of the two ways.  The scan has no row
+    for an empty file, so a download of no bytes counts as missing.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(directory)
     small = files.filter(F.col("length") <= most_bytes).select("path", F.md5("content").alias("actual_md5"))
