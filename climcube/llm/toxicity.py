@@ -15,8 +15,10 @@ a logistic curve fitted on labelled documents outside the counts turns it into a
 
 Counting, all probabilities and scoring are aggregations and joins; the tables of the model stay distributed.  They
 are joined to the distinct windows of characters of the distinct words, and the scores of words to the
-words of the texts.  Only the n-grams on which the classes differ for certain (to read; scoring
-does not use them) and a bounded calibration sample reach the driver.
+words of the texts.  In both joins the most frequent keys, at most ``MOST_SENT`` whatever the input, are sent to
+every task; what they give is added up where the text is, and only the other keys are shuffled, once
+a text with their count.  Only a bounded calibration sample reaches the driver, and the n-grams on which the classes differ
+for certain if ``entries`` is asked for; scoring does not use them.
 
 Defined cases: null, empty and wordless texts have raw score zero and get the curve's value there;
 documents with contradicting labels teach nothing; without labels of both classes every text gets
@@ -37,8 +39,8 @@ from .common import broadcast_if_small, cut, fold, text_or_empty
 
 #: What stands between words, which are runs of letters and digits.
 SEPARATOR = r"[^\p{L}\p{N}]+"
-#: Scores of more words, or windows, are shuffled and not sent to every task.
-MOST_SENT = 2_500_000
+#: So many scores, those of the most frequent words or windows, are sent to every task; the others are shuffled.
+MOST_SENT = 500_000
 
 
 @dataclass(frozen=True)
@@ -60,14 +62,21 @@ class ToxicityConfig:
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    #: To read: the n-grams on which the classes differ for certain.
-    entries: dict[str, float]
+    #: gram, ratio, g2 of the n-grams on which the classes differ for certain.
+    certain: DataFrame
     #: h, unseen, seen: log ratio after the context for characters that never follow it, and by character.
     contexts: DataFrame
     order: int
     extra_words: float
     slope: float = 1.0
     offset: float = 0.0
+    max_entries: int = ToxicityConfig.max_entries
+
+    @property
+    def entries(self) -> dict[str, float]:
+        """To read: the most certain n-grams with their log ratios, fetched when asked for."""
+        best = self.certain.orderBy(F.desc("g2"), "gram").limit(self.max_entries)
+        return {r.gram: r.ratio for r in best.collect()}
 
 
 def agreed_labels(labels: DataFrame, column: str) -> DataFrame:
@@ -186,36 +195,78 @@ def _entries(grams: DataFrame, cfg: ToxicityConfig) -> DataFrame:
     return _certain(_ratios(grams, cfg), cfg)
 
 
-def word_scores(words: DataFrame, model: ToxicityModel) -> DataFrame:
-    """word, ratio: difference of the two log-likelihoods of each of the distinct words."""
+def _bucket() -> Column:
+    """Size class of a count ``n``: eighths of a doubling."""
+    return F.floor(F.log2(F.col("n").cast("double")) * 8).cast("int")
+
+
+def _least_sent(scores: DataFrame, most: int) -> int:
+    """The least size class such that it and all larger ones hold at most so many scores."""
+    sizes = {r.b: r.c for r in scores.groupBy(_bucket().alias("b")).agg(F.count(F.lit(1)).alias("c")).collect()}
+    held, least = 0, max(sizes, default=0) + 1
+    for size in sorted(sizes, reverse=True):
+        held += sizes[size]
+        if held > most:
+            break
+        least = size
+    return least
+
+
+def added_up(rows: DataFrame, by: list[str], key: str, scores: DataFrame, most_sent: int = MOST_SENT) -> DataFrame:
+    """``by``, total, size: sum of the scores of a group's keys, and how many keys it has; a null key is none.
+
+    ``scores`` has every key with its ``ratio`` and its frequency ``n``.  Frequent keys meet their scores in the task
+    that holds the rows.  The others are counted per group and shuffled; the key of what is left of
+    a group is salted, so that no task gets all of them.
+    """
+    scores = scores.withColumn("_b", _bucket())
+    least = _least_sent(scores, most_sent)
+    sent = scores.where(F.col("_b") >= least).select(key, F.col("ratio").alias("_sent"))
+    rest = scores.where(F.col("_b") < least).select(F.col(key).alias("_rare"), F.col("ratio").alias("_rest"))
+    salt = F.concat(F.lit(" "), F.pmod(F.xxhash64(*by), F.lit(4096)).cast("string"))  # no word or window has a space
+    rare = F.when(F.col("_sent").isNull(), F.col(key))
+    parts = rows.join(F.broadcast(sent), key, "left").groupBy(*by, F.coalesce(rare, salt).alias("_rare")).agg(
+        F.sum(F.coalesce("_sent", F.lit(0.0))).alias("_total"), F.count(key).alias("_n")
+    )
+    total = F.sum(F.col("_total") + F.coalesce(F.col("_rest") * F.col("_n"), F.lit(0.0)))
+    joined = parts.join(rest.hint("shuffle_hash"), "_rare", "left")
+    return joined.groupBy(*by).agg(total.alias("total"), F.sum("_n").alias("size"))
+
+
+def word_scores(words: DataFrame, model: ToxicityModel, most_sent: int = MOST_SENT) -> DataFrame:
+    """word, n, ratio: difference of the two log-likelihoods of each of the distinct words; ``n`` is 1 if not given."""
     s, order = F.concat(F.lit("^"), F.col("word"), F.lit("$")), model.order
     # What a position adds depends on its character and those of its longest context alone.
     windows = F.transform(
         F.sequence(F.lit(2), F.length(s)),
         lambda end: F.substr(s, F.greatest(F.lit(1), end - order + 1), F.least(end, F.lit(order))),
     )
-    rows = words.select("word", F.explode(windows).alias("window"))
+    n = F.col("n") if "n" in words.columns else F.lit(1)
+    rows = words.select("word", n.cast("long").alias("n"), F.explode(windows).alias("window"))
     window = F.col("window")
     last = F.substr(window, F.length(window), F.lit(1))
     sizes = F.sequence(F.lit(1), F.length(window) - 1)
-    tried = rows.select("window").distinct().select("window", last.alias("u"), F.explode(sizes).alias("k"))
+    distinct = rows.groupBy("window").agg(F.count(F.lit(1)).alias("n"))
+    tried = distinct.select("window", "n", last.alias("u"), F.explode(sizes).alias("k"))
     tried = tried.withColumn("h", F.substr(window, F.length(window) - F.col("k"), F.col("k")))
-    found = tried.join(broadcast_if_small(model.contexts, 300_000), "h").withColumn("r", F.coalesce(F.element_at("seen", F.col("u")), "unseen"))
-    ratios = found.groupBy("window").agg(F.max_by("r", "k").alias("r"))
-    rows = rows.join(broadcast_if_small(cut(ratios), MOST_SENT), "window")
-    return rows.groupBy("word").agg(F.sum("r").alias("ratio"))
+    found = tried.join(broadcast_if_small(model.contexts, 300_000), "h", "left")
+    found = found.withColumn("r", F.coalesce(F.element_at("seen", F.col("u")), "unseen"))
+    longest = F.max_by("r", F.when(F.col("r").isNotNull(), F.col("k")))
+    ratios = found.groupBy("window").agg(F.coalesce(longest, F.lit(0.0)).alias("ratio"), F.max("n").alias("n"))
+    scored = added_up(rows, ["word", "n"], "window", cut(ratios), most_sent)
+    return scored.select("word", "n", F.col("total").alias("ratio"))
 
 
-def raw_scores(rows: DataFrame, model: ToxicityModel, keep: str) -> DataFrame:
+def raw_scores(rows: DataFrame, model: ToxicityModel, keep: str, most_sent: int = MOST_SENT) -> DataFrame:
     """``keep`` and raw (log-likelihood difference per word) of every row with a ``_text``."""
     split = F.split(F.lower("_text"), SEPARATOR)
     words = rows.select(F.explode(F.array_distinct(split)).alias("word")).where("word != ''")
-    scores = cut(word_scores(cut(words.distinct()), model))
+    counted = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    scores = cut(word_scores(cut(counted), model, most_sent))
     each = rows.select(keep, "_text").withColumn("_row", F.monotonically_increasing_id())
-    each = each.select(keep, "_row", F.explode_outer(split).alias("word"))
-    each = each.join(broadcast_if_small(scores, MOST_SENT), "word", "left")
-    total, size = F.sum(F.coalesce("ratio", F.lit(0.0))), F.count_if(F.col("word") != "")
-    return each.groupBy("_row", keep).agg((total / (size + model.extra_words)).alias("raw")).drop("_row")
+    each = each.select(keep, "_row", F.explode_outer(split).alias("_w")).select(keep, "_row", F.nullif("_w", F.lit("")).alias("word"))
+    summed = added_up(each, [keep, "_row"], "word", scores, most_sent)
+    return summed.select(keep, (F.col("total") / (F.col("size") + model.extra_words)).alias("raw"))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[float, float]:
@@ -242,10 +293,11 @@ def fit(docs: DataFrame, labels: DataFrame, cfg: ToxicityConfig = ToxicityConfig
     counted = labelled(docs, agreed.where(F.col("fold").isin(*cfg.count_folds)))
     grams = cut(_grams(counted, cfg.order))
     ratios = cut(_ratios(grams, cfg))
-    best = _certain(ratios, cfg).orderBy(F.desc("g2"), "gram").limit(cfg.max_entries).collect()
     follows = F.struct(F.substr(F.col("gram"), F.length("gram"), F.lit(1)), F.col("ratio"))
     contexts = ratios.groupBy("h").agg(F.first("unseen").alias("unseen"), F.map_from_entries(F.collect_list(follows)).alias("seen"))
-    model = ToxicityModel({r.gram: r.ratio for r in best}, cut(contexts), cfg.order, cfg.extra_words)
+    model = ToxicityModel(
+        _certain(ratios, cfg), cut(contexts), cfg.order, cfg.extra_words, max_entries=cfg.max_entries
+    )
     sample = bounded_sample(agreed.where(F.col("fold") == cfg.calibration_fold), cfg.calibration_rows)
     few = raw_scores(labelled(docs, sample), model, "label").collect()
     slope, offset = logistic(np.array([r.raw for r in few]), np.array([r.label for r in few]))

@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 
 import llm_cases as cases
 import numpy as np
@@ -101,6 +102,20 @@ def test_toxicity_estimates(spark):
         assert math.isclose(r.ratio, math.log(p[0] / p[1]), rel_tol=1e-9, abs_tol=1e-12)
 
 
+def test_toxicity_scores_sent_or_shuffled(spark, learned):
+    """How many scores are sent to the tasks changes nothing, and a raw score is the sum over its words."""
+    docs, labels = learned
+    model = toxicity.fit(docs, labels)
+    texts = docs.select("doc_id", toxicity.text_or_empty().alias("_text"))
+    ways = [{r.doc_id: r.raw for r in toxicity.raw_scores(texts, model, "doc_id", n).collect()} for n in (0, 40, 10**6)]
+    assert ways[0] == pytest.approx(ways[2], abs=1e-12) and ways[1] == pytest.approx(ways[2], abs=1e-12)
+    split = [(r.doc_id, [w for w in re.split(r"[\W_]+", r._text.lower()) if w]) for r in texts.limit(40).collect()]
+    words = spark.createDataFrame([(w,) for w in sorted({w for _, found in split for w in found})], "word string")
+    of = {r.word: r.ratio for r in toxicity.word_scores(words, model).collect()}
+    for doc_id, found in split:
+        assert ways[1][doc_id] == pytest.approx(sum(of[w] for w in found) / (len(found) + model.extra_words), abs=1e-9)
+
+
 def test_toxicity_of_rare_expressions(spark, learned):
     """Expressions in three toxic documents weigh, and every position has its full estimate."""
     texts = [(k, f"gargle{'!' * k} plain words {k}") for k in range(900, 903)]
