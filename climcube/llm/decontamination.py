@@ -9,9 +9,9 @@ occurrence if all shingles of the window stand at their places.
 
 Texts are split once.  What leaves the scan is a row per document and one per position whose
 words are a shingle of some item; these narrow rows are written to the shared folder, and
-rarity, candidates and verification are joins over them.  Document words are never shuffled.
+rarity, candidates and verification are joins over them.  Documents' arrays of words are never shuffled.
 The shingles of the items are broadcast if a count shows at most ``BROADCAST_ROWS`` of them;
-otherwise positions are joined by their key.
+otherwise positions are joined by their key, each with the up to five words that stand there.
 
 Defined cases: null and wordless texts are clean with no words; items without words have no
 window; equal windows of several items count for each of them; items that share an identifier are
@@ -109,11 +109,16 @@ def _matches(docs: DataFrame, shingles: DataFrame) -> DataFrame:
         df = df.select("doc", "_words", "n_words", at.alias("at"), first.alias("first"), F.explode_outer(keys).alias("s"))
         df = df.select("doc", "_words", "n_words", "at", (F.col("first") & (F.col("s.k") == sizes[0])).alias("first"), "s.k", "s.key")
     fits = F.col("at") + F.col("k") <= F.col("n_words")
-    joined = df.join(
-        broadcast_if_small(known, BROADCAST_ROWS), (F.col("key") == F.col("_key")) & (F.col("k") == F.col("_k")), "left"
-    ).where(F.col("first") | (F.col("_key").isNotNull() & fits))
     # The words decide, not their hash.
     here = F.concat_ws(" ", F.slice("_words", F.col("at") + 1, F.col("k")))
+    if known.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        known = F.broadcast(known)
+    else:  # positions meet their keys by a shuffle, which takes a position's own words and no other
+        df = df.withColumn("_here", here).drop("_words")
+        known, here = known.hint("shuffle_hash"), F.col("_here")
+    joined = df.join(known, (F.col("key") == F.col("_key")) & (F.col("k") == F.col("_k")), "left").where(
+        F.col("first") | (F.col("_key").isNotNull() & fits)
+    )
     found = F.col("_key").isNotNull() & fits & (here == F.col("_known"))
     rows = F.array_compact(
         F.array(

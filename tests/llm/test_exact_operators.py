@@ -3,6 +3,7 @@
 import hashlib
 import os
 import random
+import re
 import zlib
 from collections import defaultdict
 
@@ -127,7 +128,19 @@ def test_contamination_of_empty_tables(spark, docs):
 def test_contamination_without_broadcast(spark, docs, monkeypatch):
     want = cases.pairs(decontamination.contamination(docs, items(spark)), *HITS)
     monkeypatch.setattr(decontamination, "BROADCAST_ROWS", 0)
-    assert cases.pairs(decontamination.contamination(docs, items(spark)), *HITS) == want
+    got = decontamination.contamination(docs, items(spark))
+    assert cases.pairs(got, *HITS) == want
+
+
+def test_no_array_of_words_is_shuffled(spark, docs, monkeypatch):
+    monkeypatch.setattr(decontamination, "BROADCAST_ROWS", 0)
+    shingles = decontamination._keyed(decontamination.shingles_of(items(spark)))
+    plan = decontamination._matches(docs, shingles)._jdf.queryExecution().toString()
+    lines = plan.split("== Physical Plan ==")[1].splitlines()
+    below = [y for x, y in zip(lines, lines[1:], strict=False) if "Exchange hashpartitioning(key#" in x]
+    assert below and "BroadcastHashJoin" not in plan
+    # The array is read to make _here, but is no column of what is shuffled.
+    assert "AS _here#" in below[0] and not re.search(r"[\[ ]_words#\d+[,\]]", below[0].split("concat_ws")[0])
 
 
 def test_decontamination_stage(spark, docs):
@@ -288,8 +301,25 @@ def test_encoder_equals_the_library(real, monkeypatch):
     assert [encoder.encode(t) for t in texts] == whole
     monkeypatch.setattr(packing, "SLICE", 60)
     assert [encoder.encode(t) for t in texts] == whole
-    encoder.later.limit = encoder.first.limit = encoder.plain.limit = encoder.tails.limit = 0
-    assert [encoder.encode(t) for t in texts[:20]] == whole[:20]
+    # Nothing is remembered, or little of it.
+    for half in (0, 3):
+        encoder = packing.Encoder(tokenizer_path("byte_bpe_50k.json"))
+        encoder.later.half = encoder.first.half = half
+        assert [encoder.encode(t) for t in texts[:300]] == whole[:300]
+        assert len(encoder.later.young) <= half and len(encoder.later.old) <= half
+
+
+def test_unseen_words_encoded_together(real, monkeypatch):
+    """Blocks of any size give the same, also where a block cannot be taken apart."""
+    path = tokenizer_path("byte_bpe_50k.json")
+    texts = [r.text for r in real][:200] + ODD + ["a\nb c\nd  e", "x \t y z", "\x1c a \x1d b c\x1e d"]
+    want = packing.Encoder(path).many(texts)
+    for joined in (1, 2, 7):
+        monkeypatch.setattr(packing.Encoder, "JOINED", joined)
+        assert packing.Encoder(path).many(texts) == want
+    lost = packing.Encoder(path)
+    lost.spaced[:] = False
+    assert lost.many(texts) == want
 
 
 def check_pieces(rows, texts):
