@@ -16,7 +16,7 @@ documents of their own; empty tables give no pieces; other columns of the input
 
 from __future__ import annotations
 
-import re
+import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import small_batches, text_or_empty
-from .words import Memo, parts_of, slices_of
+from .words import Generations, parts_of, slices_of
 
 CAPACITY = 1024
 BLOCK = 1 << 21
@@ -41,40 +41,58 @@ TASK_SHIFT = 40
 class Encoder:
     """Identifiers of texts as little-endian unsigned 32-bit integers."""
 
-    #: Letters, then punctuation without an apostrophe: such a part is always split between the two.
-    TAIL = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]+)")
+    #: Unseen words encoded as one string.
+    JOINED = 500
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
-        self.first, self.tails = Memo(self._encode, 50_000), Memo(self._encode, 50_000)
-        self.plain, self.later = Memo(self._spaced, 900_000), Memo(self._later, 400_000)
+        known = self.tokenizer.get_vocab()
+        #: By identifier: does the token begin with a space?
+        self.spaced = np.zeros(max(known.values()) + 1, bool)
+        self.spaced[[i for token, i in known.items() if token.startswith("\u0120")]] = True
+        self.first, self.later = Generations(self._encode, 100_000), Generations(self._later, 1_000_000)
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        return [np.array(x.ids, "<u4") for x in found]
 
-    def _spaced(self, parts: list[str]) -> list[bytes]:
-        return self._encode([" " + x for x in parts])
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        return [x.tobytes() for x in self._ids(texts)]
 
     def _later(self, parts: list[str]) -> list[bytes]:
-        """Parts after a space; a word is remembered without the punctuation behind it."""
-        cut = [self.TAIL.fullmatch(x) for x in parts]
-        words = self.plain.of([m[1] if m else x for x, m in zip(parts, cut, strict=True)])
-        tails = iter(self.tails.of([m[2] for m in cut if m]))
-        return [w + next(tails) if m else w for w, m in zip(words, cut, strict=True)]
+        """Parts after a space.
+
+        Parts are encoded many at a time, each behind its space: a token that begins with a space begins the
+        next part.  Those with spaces of their own, or other white space at an end, are encoded alone.
+        """
+        plain = [x for x in parts if " " not in x and x.strip() == x]
+        blocks = [plain[i : i + self.JOINED] for i in range(0, len(plain), self.JOINED)]
+        out: dict[str, bytes] = {}
+        for block, ids in zip(blocks, self._ids([" " + " ".join(b) for b in blocks]), strict=True):
+            starts = np.flatnonzero(self.spaced[ids])
+            if len(starts) == len(block) and starts[0] == 0:
+                raw, ends = ids.tobytes(), [*(4 * starts[1:]).tolist(), 4 * len(ids)]
+                out.update((x, raw[a:b]) for x, a, b in zip(block, [0, *ends], ends, strict=False))
+        rest = [x for x in parts if x not in out]
+        out.update(zip(rest, self._encode([" " + x for x in rest]), strict=True))
+        return [out[x] for x in parts]
 
     def many(self, texts: list[str]) -> list[bytes]:
-        """Whole texts, through one look-up."""
+        """Whole texts, through one look-up of their distinct parts."""
         parts = [parts_of(t) for t in texts]
         heads = self.first.of([p[0] for p in parts])
-        rest = self.later.of([x for p in parts for x in p[1:]])
-        out, at = [], 0
-        for head, p in zip(heads, parts, strict=True):
-            out.append(head + b"".join(rest[at : at + len(p) - 1]))
-            at += len(p) - 1
-        return out
+        later = pa.array([x for p in parts for x in p[1:]], pa.large_string()).dictionary_encode()
+        if not len(later):
+            return heads
+        found = pa.array(self.later.of(later.dictionary.to_pylist()), pa.large_binary()).take(later.indices)
+        # Identifiers of all texts stand one after the other; a text's begin where its second part does.
+        _, ends, raw = found.buffers()
+        first = np.cumsum([0] + [len(p) - 1 for p in parts])
+        at = np.frombuffer(ends, np.int64, len(found) + 1)[first].tolist()
+        return [head + raw[a:b].to_pybytes() for head, a, b in zip(heads, at, at[1:], strict=False)]
 
     def slices(self, text: str) -> Iterator[bytes]:
         """The same piece by piece, for a very long text."""

@@ -46,3 +46,29 @@ class Memo(dict):
         if len(self) + len(new) <= self.limit:
             self.update(new)
         return [new[x] if value is None else value for x, value in zip(parts, found, strict=True)]
+
+
+class Generations:
+    """What ``encode`` gives for each string, remembered in two generations of at most ``limit`` strings together.
+
+    When the younger one is full the older one goes, and what is met again moves to the younger one.  So
+    frequent strings stay whatever came before them.
+    """
+
+    def __init__(self, encode: Callable[[list[str]], list], limit: int):
+        self.encode, self.half = encode, limit // 2
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def of(self, parts: list[str]) -> list:
+        found = list(map(self.young.get, parts))
+        if None not in found:
+            return found
+        new = {x: self.old.get(x) for x, value in zip(parts, found, strict=True) if value is None}
+        missing = [x for x, value in new.items() if value is None]
+        new.update(zip(missing, self.encode(missing), strict=True))
+        if len(new) <= self.half:
+            if len(self.young) + len(new) > self.half:
+                self.young, self.old = {}, self.young
+            self.young.update(new)
+        return [new[x] if value is None else value for x, value in zip(parts, found, strict=True)]
