@@ -1,14 +1,15 @@
 """Quality classifier: random-indexing word vectors, a two-layer network, calibrated temperature.
 
-Every token of the vocabulary has a fixed sparse ternary index vector.  Its word vector is the sum of
+A token's number is a hash of it, so every token of every document counts and no vocabulary is gathered.
+Each number has a fixed sparse ternary index vector.  Its word vector is the sum of
 the index vectors of its neighbours over all documents: tasks add up their own documents and one
 aggregation adds up the tasks.  A document is the mean and the deviation of its words' vectors, a small numpy
 network turns that into a logit, and a temperature fitted on labelled documents outside the
 training calibrates the probability.
 
-The vocabulary is the most frequent tokens of all documents, counted in full, and the vectors come from all
-documents; tokens outside the vocabulary count as their shape (case, length, kind of symbol).  Only the
-network is fitted on a bounded sample of labelled documents.  What is sent to the tasks is bounded by the vocabulary; no text is shuffled.
+The table of vectors has ``rows`` rows whatever the input; tokens that share a number share its vector, to which
+each of them adds as often as it occurs.  Only the network is fitted on a bounded sample of labelled documents.
+What is sent to the tasks is bounded by the table; no text is shuffled.
 
 Defined cases: null, empty and tokenless texts are the mean of nothing, a zero vector; documents with
 contradicting labels teach nothing; with labels of one class only, every text gets its share; rows that
@@ -18,7 +19,7 @@ repeat are scored each; a null identifier is not held out; other columns are not
 from __future__ import annotations
 
 import re
-from collections import Counter
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,7 +32,7 @@ from .common import cut, fold, small_batches, text_or_empty
 from .toxicity import agreed_labels, bounded_sample, labelled
 
 TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+|\n+")
-#: Tokens handled at a time, and remembered per task.
+#: Tokens handled at a time, and numbers remembered per task.
 BLOCK = 1 << 16
 LIMIT = 500_000
 
@@ -41,7 +42,8 @@ class QualityConfig:
     dimensions: int = 64
     nonzeros: int = 4
     window: int = 2
-    vocabulary: int = 20_000
+    #: Numbers that tokens are hashed to.
+    rows: int = 1 << 15
     #: Most labelled documents in the sample that the network is fitted on.
     sample_rows: int = 20_000
     hidden: int = 32
@@ -53,23 +55,14 @@ class QualityConfig:
     calibration_fold: int = 4
 
 
-def shape(token: str) -> str:
-    if token[0].isalpha():
-        case = "U" if token.isupper() and len(token) > 1 else "T" if token[0].isupper() else "l"
-        return f"<{case}{min(len(token), 15) // 3}>"
-    if token[0].isdigit():
-        return f"<d{min(len(token), 8)}>"
-    return f"<s{token[0] if token[0].isascii() else ''}{min(len(token), 4)}>"
-
-
 class _Ids(dict):
-    """Number of a token: its own, its shape's, or 0."""
+    """Number of a token."""
 
-    def __init__(self, vocabulary: list[str]):
-        super().__init__((x, i + 1) for i, x in enumerate(vocabulary))
+    def __init__(self, rows: int):
+        self.rows = rows
 
     def __missing__(self, token: str) -> int:
-        found = self.get(shape(token), 0)
+        found = zlib.crc32(token.encode()) % self.rows
         if len(self) < LIMIT:
             self[token] = found
         return found
@@ -86,47 +79,12 @@ def index_vectors(n: int, cfg: QualityConfig) -> tuple[np.ndarray, np.ndarray]:
     return places, rng.choice([-1.0, 1.0], (n, cfg.nonzeros))
 
 
-def vocabulary_of(docs: DataFrame, cfg: QualityConfig) -> list[str]:
-    """The most frequent tokens of all documents, then the shapes of all their tokens."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[str] = Counter()
-
-        def counted() -> pa.RecordBatch:
-            shapes: Counter[str] = Counter()
-            for token, n in counts.items():
-                shapes[shape(token)] += n
-            rows = [*((t, n, False) for t, n in counts.items()), *((t, n, True) for t, n in shapes.items())]
-            counts.clear()
-            columns = list(zip(*rows, strict=True)) or [(), (), ()]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.bool_())],
-                ["token", "n", "is_shape"],
-            )
-
-        for batch in batches:
-            for text in batch.column("_text"):
-                counts.update(TOKEN.findall(text.as_py()))
-            if len(counts) >= LIMIT // 2:
-                yield counted()
-        if counts:
-            yield counted()
-
-    counts = cut(
-        docs.select(text_or_empty().alias("_text")).mapInArrow(run, "token string, n bigint, is_shape boolean")
-        .groupBy("token", "is_shape").agg(F.sum("n").alias("n"))
-    )
-    words = counts.where("not is_shape").orderBy(F.desc("n"), "token").limit(cfg.vocabulary).collect()
-    shapes = counts.where("is_shape").orderBy(F.desc("n"), "token").limit(1000).collect()
-    return [r.token for r in words] + [r.token for r in shapes]
-
-
-def word_vectors(docs: DataFrame, vocabulary: list[str], cfg: QualityConfig) -> np.ndarray:
-    """A row of unit length per token number, from the neighbours of the token in all documents."""
-    n, d = len(vocabulary) + 1, cfg.dimensions
+def word_vectors(docs: DataFrame, cfg: QualityConfig) -> np.ndarray:
+    """A row of unit length per token number, from the neighbours of its tokens in all documents."""
+    n, d = cfg.rows, cfg.dimensions
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, (places, signs) = _Ids(vocabulary), index_vectors(n, cfg)
+        ids_of, (places, signs) = _Ids(n), index_vectors(n, cfg)
         total, held = np.zeros(n * d), []
         size = 0
 
@@ -165,7 +123,7 @@ def word_vectors(docs: DataFrame, vocabulary: list[str], cfg: QualityConfig) ->
         .groupBy("id").agg(*[F.sum(f"v{j}").alias(f"v{j}") for j in range(d)])
     )
     out = np.zeros((n, d))
-    for row in sums.collect():  # at most a row per token of the vocabulary
+    for row in sums.collect():  # at most cfg.rows
         out[row[0]] = row[1:]
     norms = np.linalg.norm(out, axis=1, keepdims=True)
     return (out / np.where(norms > 0, norms, 1)).astype(np.float32)
@@ -189,7 +147,6 @@ def pool(ids: np.ndarray, vectors: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class QualityModel:
-    vocabulary: list[str]
     vectors: np.ndarray
     centre: np.ndarray
     scale: np.ndarray
@@ -235,11 +192,11 @@ def temperature_of(logits: np.ndarray, y: np.ndarray) -> float:
     return float(grid[loss.argmin()])
 
 
-def _pooled(rows: DataFrame, vocabulary: list[str], vectors: np.ndarray) -> DataFrame:
+def _pooled(rows: DataFrame, vectors: np.ndarray) -> DataFrame:
     """label, fold, vector of labelled documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = _Ids(vocabulary)
+        ids_of = _Ids(len(vectors))
         for batch in batches:
             found = [pool(ids_of.of(t.as_py()), vectors).tolist() for t in batch.column("_text")]
             columns = [batch.column("label"), batch.column("fold"), pa.array(found, pa.list_(pa.float64()))]
@@ -252,9 +209,8 @@ def fit(docs: DataFrame, labels: DataFrame, cfg: QualityConfig = QualityConfig()
     small_batches(docs.sparkSession)
     agreed = cut(agreed_labels(labels, "quality"))
     sample = labelled(docs, bounded_sample(agreed, cfg.sample_rows))
-    vocabulary = vocabulary_of(docs, cfg)
-    vectors = word_vectors(docs, vocabulary, cfg)
-    rows = _pooled(sample, vocabulary, vectors).collect()  # at most cfg.sample_rows
+    vectors = word_vectors(docs, cfg)
+    rows = _pooled(sample, vectors).collect()  # at most cfg.sample_rows
     width = 2 * cfg.dimensions
     x = np.array([r.vector for r in rows]).reshape(len(rows), width)
     y = np.array([r.label for r in rows])
@@ -262,10 +218,10 @@ def fit(docs: DataFrame, labels: DataFrame, cfg: QualityConfig = QualityConfig()
     if len(set(y[~held])) < 2:
         share = (y.sum() + 0.5) / (len(y) + 1)
         flat = (np.zeros((width, cfg.hidden)), np.zeros(cfg.hidden), np.zeros(cfg.hidden), float(np.log(share / (1 - share))))
-        return QualityModel(vocabulary, vectors, np.zeros(width), np.ones(width), flat)
+        return QualityModel(vectors, np.zeros(width), np.ones(width), flat)
     centre, scale = x[~held].mean(axis=0), x[~held].std(axis=0) + 1e-6
-    model = QualityModel(vocabulary, vectors, centre, scale, train((x[~held] - centre) / scale, y[~held], cfg))
-    return QualityModel(vocabulary, vectors, centre, scale, model.layers, temperature_of(model.logits(x[held]), y[held]))
+    model = QualityModel(vectors, centre, scale, train((x[~held] - centre) / scale, y[~held], cfg))
+    return QualityModel(vectors, centre, scale, model.layers, temperature_of(model.logits(x[held]), y[held]))
 
 
 def score(docs: DataFrame, model: QualityModel, cfg: QualityConfig = QualityConfig()) -> DataFrame:
@@ -274,7 +230,7 @@ def score(docs: DataFrame, model: QualityModel, cfg: QualityConfig = QualityConf
     rows = docs.select("doc_id", text_or_empty().alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = _Ids(model.vocabulary)
+        ids_of = _Ids(len(model.vectors))
         for batch in batches:
             x = np.array([pool(ids_of.of(t.as_py()), model.vectors) for t in batch.column("_text")])
             z = model.logits(x.reshape(-1, len(model.centre))) / model.temperature
