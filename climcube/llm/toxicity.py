@@ -1,7 +1,15 @@
 """Toxicity by two class-conditional Kneser-Ney models with shared backoff.
 
-The unit is the character n-gram inside a word, so that inflected and rare expressions share what
-their stems have in common.  Both classes have interpolated Kneser-Ney estimates
+A word's estimate in a class is interpolated Kneser-Ney with the class as its context,
+
+    P_c(w) = (max(n_c(w) - D, 0) + D T_c P(w) b_c(w)) / N_c
+
+where ``P(w)`` comes from continuation counts, that is in how many classes the word stands, so that a word
+of one class keeps little of its frequency in the other one, and rare words, which both estimates mostly
+owe to the shared part, weigh next to nothing.  ``b_t + b_o = 2`` deals that part out as character models of the
+classes see the word: ``log(b_t / b_o)`` is their difference per position, so that inflected and unseen forms share what
+their stems have in common.  The unit of these is the character n-gram inside a word; both classes have interpolated
+Kneser-Ney estimates
 
     P_c(u | h) = (max(n_c(hu) - D, 0) + D T_c(h) P(u | h')) / n_c(h)
 
@@ -10,8 +18,10 @@ are documents that hold the word, so that one document's repetitions count once.
 
 A position of a word is judged by the longest context that the labelled documents hold: by the log of
 the ratio of both estimates, also where a character never followed the context, and without a least
-count or a test of certainty.  A text's raw score is the difference of the two log-likelihoods per word, and
-a logistic curve fitted on labelled documents outside the counts turns it into a probability.
+count or a test of certainty.
+
+Most words of a toxic text are ordinary.  So the toxic likelihood of a word is ``(1 - e) P_o + e P_t`` with a small
+share ``e``.  A text's raw score is the difference of the two log-likelihoods per word, and a logistic curve fitted on labelled documents outside the counts turns it into a probability.
 
 Counting, all probabilities and scoring are aggregations and joins; the tables of the model stay distributed.  They
 are joined to the distinct windows of characters of the distinct words, and the scores of words to the
@@ -53,6 +63,8 @@ class ToxicityConfig:
     max_entries: int = 200_000
     #: Most labelled documents in the calibration sample.
     calibration_rows: int = 20_000
+    #: Share of a toxic text's words that come from the toxic model.
+    toxic_share: float = 0.003
     #: Added to the number of words, so that single words do not decide.
     extra_words: float = 10.0
     #: Folds (crc32 of the identifier modulo 5) for counts and for the calibration; fold 0 is held out.
@@ -66,6 +78,13 @@ class ToxicityModel:
     certain: DataFrame
     #: h, unseen, seen: log ratio after the context for characters that never follow it, and by character.
     contexts: DataFrame
+    #: word, t, o: labelled documents of each class that hold it.
+    words: DataFrame
+    #: The classes' numbers of distinct words and sums of their counts, toxic first.
+    kinds: tuple[float, float]
+    sizes: tuple[float, float]
+    discount: float
+    toxic_share: float
     order: int
     extra_words: float
     slope: float = 1.0
@@ -102,15 +121,24 @@ def bounded_sample(agreed: DataFrame, rows: int) -> DataFrame:
     return agreed.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
 
 
-def _grams(train: DataFrame, order: int) -> DataFrame:
-    """gram, t, o: documents' words of the toxic and the ordinary class that hold it; ^ and $ are word ends."""
-    words = (
-        train.select("label", F.explode_outer(F.array_distinct(F.split(F.lower("_text"), SEPARATOR))).alias("word"))
+def _word_counts(train: DataFrame) -> DataFrame:
+    """word, t, o: documents of the toxic and the ordinary class that hold it."""
+    words = F.array_distinct(F.split(F.lower("_text"), SEPARATOR))
+    return (
+        train.select("label", F.explode_outer(words).alias("word"))
         .where("word != ''")
         .groupBy("word")
         .agg(F.sum("label").alias("t"), F.sum(1 - F.col("label")).alias("o"))
-        .select(F.concat(F.lit("^"), "word", F.lit("$")).alias("_s"), "t", "o")
     )
+
+
+def _grams(train: DataFrame, order: int) -> DataFrame:
+    """gram, t, o: documents' words of the toxic and the ordinary class that hold it; ^ and $ are word ends."""
+    return _grams_of(_word_counts(train), order)
+
+
+def _grams_of(words: DataFrame, order: int) -> DataFrame:
+    words = words.select(F.concat(F.lit("^"), "word", F.lit("$")).alias("_s"), "t", "o")
     size = F.length("_s")
     each = F.flatten(
         F.transform(
@@ -234,7 +262,7 @@ def added_up(rows: DataFrame, by: list[str], key: str, scores: DataFrame, most_s
 
 
 def word_scores(words: DataFrame, model: ToxicityModel, most_sent: int = MOST_SENT) -> DataFrame:
-    """word, n, ratio: difference of the two log-likelihoods of each of the distinct words; ``n`` is 1 if not given."""
+    """word, n, ratio: log ratio of the character models for each of the distinct words; ``n`` is 1 if not given."""
     s, order = F.concat(F.lit("^"), F.col("word"), F.lit("$")), model.order
     # What a position adds depends on its character and those of its longest context alone.
     windows = F.transform(
@@ -257,12 +285,32 @@ def word_scores(words: DataFrame, model: ToxicityModel, most_sent: int = MOST_SE
     return scored.select("word", "n", F.col("total").alias("ratio"))
 
 
+def word_values(words: DataFrame, model: ToxicityModel, most_sent: int = MOST_SENT) -> DataFrame:
+    """word, n, ratio: what a word adds to the difference of a text's log-likelihoods."""
+    scores = word_scores(words, model, most_sent)
+    if not min(model.sizes):
+        return scores.select("word", "n", F.lit(0.0).alias("ratio"))
+    known = model.words.select(F.col("word").alias("_word"), "t", "o")
+    t, o = (F.coalesce(c, F.lit(0.0)) for c in ("t", "o"))
+    # A word of neither class has half of what stands in one.
+    shared = F.greatest((t > 0).cast("int") + (o > 0).cast("int"), F.lit(0.5)) / sum(model.kinds)
+    # The character models' ratio per position, so that long words do not pile up small differences.
+    toxic = 1 / (1 + F.exp(-F.col("ratio") / (F.length("word") + 1)))
+
+    def estimate(n: Column, c: int, part: Column) -> Column:
+        return (F.greatest(n - model.discount, F.lit(0.0)) + model.discount * model.kinds[c] * shared * 2 * part) / model.sizes[c]
+
+    e = model.toxic_share
+    value = F.log(1 - e + e * estimate(t, 0, toxic) / estimate(o, 1, 1 - toxic))
+    return scores.join(known.hint("shuffle_hash"), F.col("word") == F.col("_word"), "left").select("word", "n", value.alias("ratio"))
+
+
 def raw_scores(rows: DataFrame, model: ToxicityModel, keep: str, most_sent: int = MOST_SENT) -> DataFrame:
     """``keep`` and raw (log-likelihood difference per word) of every row with a ``_text``."""
     split = F.split(F.lower("_text"), SEPARATOR)
     words = rows.select(F.explode(F.array_distinct(split)).alias("word")).where("word != ''")
     counted = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    scores = cut(word_scores(cut(counted), model, most_sent))
+    scores = cut(word_values(cut(counted), model, most_sent))
     each = rows.select(keep, "_text").withColumn("_row", F.monotonically_increasing_id())
     each = each.select(keep, "_row", F.explode_outer(split).alias("_w")).select(keep, "_row", F.nullif("_w", F.lit("")).alias("word"))
     summed = added_up(each, [keep, "_row"], "word", scores, most_sent)
@@ -291,12 +339,17 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[float, f
 def fit(docs: DataFrame, labels: DataFrame, cfg: ToxicityConfig = ToxicityConfig()) -> ToxicityModel:
     agreed = cut(agreed_labels(labels, "toxic"))
     counted = labelled(docs, agreed.where(F.col("fold").isin(*cfg.count_folds)))
-    grams = cut(_grams(counted, cfg.order))
+    words = cut(_word_counts(counted))
+    grams = cut(_grams_of(words, cfg.order))
     ratios = cut(_ratios(grams, cfg))
     follows = F.struct(F.substr(F.col("gram"), F.length("gram"), F.lit(1)), F.col("ratio"))
     contexts = ratios.groupBy("h").agg(F.first("unseen").alias("unseen"), F.map_from_entries(F.collect_list(follows)).alias("seen"))
+    sums = words.agg(
+        *[F.count_if(F.col(c) > 0).alias(f"kinds_{c}") for c in "to"], *[F.sum(c).alias(f"size_{c}") for c in "to"]
+    ).first()
     model = ToxicityModel(
-        _certain(ratios, cfg), cut(contexts), cfg.order, cfg.extra_words, max_entries=cfg.max_entries
+        _certain(ratios, cfg), cut(contexts), words, (sums.kinds_t, sums.kinds_o), (sums.size_t or 0.0, sums.size_o or 0.0),
+        cfg.discount, cfg.toxic_share, cfg.order, cfg.extra_words, max_entries=cfg.max_entries,
     )
     sample = bounded_sample(agreed.where(F.col("fold") == cfg.calibration_fold), cfg.calibration_rows)
     few = raw_scores(labelled(docs, sample), model, "label").collect()

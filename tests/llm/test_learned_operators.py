@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import zlib
 
 import llm_cases as cases
 import numpy as np
@@ -111,11 +112,50 @@ def test_toxicity_scores_sent_or_shuffled(spark, learned):
     assert ways[0] == pytest.approx(ways[2], abs=1e-12) and ways[1] == pytest.approx(ways[2], abs=1e-12)
     split = [(r.doc_id, [w for w in re.split(r"[\W_]+", r._text.lower()) if w]) for r in texts.limit(40).collect()]
     words = spark.createDataFrame([(w,) for w in sorted({w for _, found in split for w in found})], "word string")
-    of = {r.word: r.ratio for r in toxicity.word_scores(words, model).collect()}
+    of = {r.word: r.ratio for r in toxicity.word_values(words, model).collect()}
     for doc_id, found in split:
         assert ways[1][doc_id] == pytest.approx(sum(of[w] for w in found) / (len(found) + model.extra_words), abs=1e-9)
 
 
+def test_toxicity_word_estimates(spark):
+    """A word's value by the formula, from counts of documents and the character models."""
+    texts = ["bad bad fine", "bad plain", "fine day", "fine plain day", "fine worse", "day", None, ""]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts * 10)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 8 < 2)) for k in range(80)], "doc_id long, toxic int")
+    cfg = toxicity.ToxicityConfig()
+    model = toxicity.fit(docs, labels, cfg)
+    count = {}
+    for k, t in enumerate(texts * 10):
+        if zlib.crc32(str(k).encode()) % 5 in cfg.count_folds:
+            for w in set((t or "").split()):
+                count.setdefault(w, [0, 0])[0 if k % 8 < 2 else 1] += 1
+    kinds = [sum(v[c] > 0 for v in count.values()) for c in (0, 1)]
+    sizes = [sum(v[c] for v in count.values()) for c in (0, 1)]
+    words = spark.createDataFrame([(w,) for w in (*count, "unheard")], "word string")
+    characters = {r.word: r.ratio for r in toxicity.word_scores(words, model).collect()}
+    got = {r.word: r.ratio for r in toxicity.word_values(words, model).collect()}
+    for w, value in got.items():
+        seen = count.get(w, [0, 0])
+        shared = max(0.5, sum(x > 0 for x in seen)) / sum(kinds)
+        toxic = 1 / (1 + math.exp(-characters[w] / (len(w) + 1)))
+        p = [
+            (max(seen[c] - cfg.discount, 0) + cfg.discount * kinds[c] * shared * 2 * part) / sizes[c]
+            for c, part in ((0, toxic), (1, 1 - toxic))
+        ]
+        assert math.isclose(value, math.log(1 - cfg.toxic_share + cfg.toxic_share * p[0] / p[1]), rel_tol=1e-9, abs_tol=1e-12)
+    assert got["bad"] > 5 * max(abs(got[w]) for w in ("fine", "day", "unheard"))
+
+
+def test_toxicity_on_given_documents(spark):
+    """Held-out documents of the given table: toxic ones are found, clean ones left alone."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{x}.parquet") for x in ("documents", "labels"))
+    marks = labels.where("toxic is not null")
+    score, label, predicted = held_out(toxicity.score(docs, toxicity.fit(docs, labels)), marks, "toxic")
+    label, predicted = np.array(label), np.array(predicted)
+    assert area(score, label) > 0.95
+    assert predicted[label == 1].mean() > 0.8 and predicted[label == 0].mean() < 0.01
+
+
 def test_toxicity_of_rare_expressions(spark, learned):
     """Expressions in three toxic documents weigh, and every position has its full estimate."""
     texts = [(k, f"gargle{'!' * k} plain words {k}") for k in range(900, 903)]
@@ -138,14 +178,14 @@ def test_toxicity_of_rare_expressions(spark, learned):
 
 def test_quality_on_unseen_documents(spark, learned):
     docs, labels = learned
-    cfg = quality_classifier.QualityConfig(vocabulary=300, epochs=20)
+    cfg = quality_classifier.QualityConfig(epochs=20)
     model = quality_classifier.fit(docs, labels, cfg)
     score, label, predicted = held_out(quality_classifier.score(docs, model, cfg), labels, "quality")
     assert area(score, label) > 0.97 and np.mean(np.array(predicted) == label) > 0.95
 
 
 def test_quality_of_awkward_rows(spark, docs, learned):
-    cfg = quality_classifier.QualityConfig(vocabulary=50, epochs=2)
+    cfg = quality_classifier.QualityConfig(rows=512, epochs=2)
     model = quality_classifier.fit(learned[0], learned[1], cfg)
     rows = quality_classifier.score(docs, model, cfg).collect()
     assert len(rows) == docs.count() and all(0 <= r.score <= 1 for r in rows)
@@ -155,26 +195,27 @@ def test_quality_of_awkward_rows(spark, docs, learned):
     assert {round(r.score, 9) for r in quality_classifier.score(docs, blank, cfg).collect()} == {0.5}
 
 
-def test_vocabulary_of_all_documents(spark, learned):
-    """Tokens that are frequent in documents without a label have their own vectors."""
-    more = spark.createDataFrame([(10_000 + i, "unlabelled words " * 200) for i in range(20)], "doc_id long, text string")
-    cfg = quality_classifier.QualityConfig(vocabulary=20, epochs=1)
-    model = quality_classifier.fit(learned[0].union(more), learned[1], cfg)
-    assert all(model.vectors[model.vocabulary.index(x) + 1].any() for x in ("unlabelled", "words"))
+def test_every_token_has_a_vector(spark, learned):
+    """Tokens of documents without a label have vectors, however rare they are."""
+    more = spark.createDataFrame([(10_000, "unlabelled words")], "doc_id long, text string")
+    model = quality_classifier.fit(learned[0].union(more), learned[1], quality_classifier.QualityConfig(epochs=1))
+    ids = quality_classifier._Ids(len(model.vectors)).of("unlabelled words")
+    assert model.vectors[ids].any(axis=1).all()
 
 
 def test_word_vectors_are_sums_over_neighbours(spark):
-    cfg = quality_classifier.QualityConfig(dimensions=8, nonzeros=2, window=2)
-    words, text = ["a", "b", "c"], "a b c a a"
+    rows = 16
+    cfg = quality_classifier.QualityConfig(dimensions=8, nonzeros=2, window=2, rows=rows)
+    text = "a b c a a"
     docs = spark.createDataFrame([(1, text), (2, None), (3, "b c")], "doc_id long, text string")
-    got = quality_classifier.word_vectors(docs, words, cfg)
-    places, signs = quality_classifier.index_vectors(4, cfg)
-    index = np.zeros((4, 8))
-    for i in range(4):
+    got = quality_classifier.word_vectors(docs, cfg)
+    places, signs = quality_classifier.index_vectors(rows, cfg)
+    index = np.zeros((rows, 8))
+    for i in range(rows):
         index[i, places[i]] = signs[i]
-    want = np.zeros((4, 8))
+    want = np.zeros((rows, 8))
     for t in (text, "b c"):
-        ids = [words.index(x) + 1 for x in t.split()]
+        ids = [zlib.crc32(x.encode()) % rows for x in t.split()]
         for i, x in enumerate(ids):
             for j in range(max(0, i - 2), min(len(ids), i + 3)):
                 if i != j:
