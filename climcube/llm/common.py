@@ -43,10 +43,12 @@ def ascii_lower(text: Column) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; a temporary one only where none is set, as in tests."""
+    """The folder that all executors share; where none is set a temporary one in local mode, else an error."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         named = spark.conf.get(CHECKPOINT_SETTING, None)
+        if not named and sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="llm-checkpoint-"))
     return sc.getCheckpointDir()
 

@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 from collections import defaultdict
+from types import SimpleNamespace
 
 import llm_cases as cases
 import numpy as np
@@ -13,7 +14,7 @@ import pytest
 from public_tokenizers import path as tokenizer_path
 from pyspark.sql import functions as F
 
-from climcube.llm import decontamination, oracle, packing, quality_rules, queries, secrets, simhash, token_counts
+from climcube.llm import common, decontamination, oracle, packing, quality_rules, queries, secrets, simhash, token_counts
 from compare import difference, duck
 
 
@@ -424,3 +425,12 @@ def test_pipeline(spark, tmp_path):
     check_pieces(pieces.collect(), [t for _, t in rows_of(kept)])
     assert corpus_pipeline.run(spark, folder).count() == pieces.count()
     assert len(os.listdir(folder)) == 3
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    def session(master):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+        return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda name, default: default))
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        common.shared_dir(session("spark://somewhere:7077"))
