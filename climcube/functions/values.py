@@ -15,6 +15,15 @@ SECONDS_PER_DAY = 86400
 UNITS = {"pr": "mm/day", "tas": "°C"}
 
 
+def finished(c: Column) -> Column:
+    """The column through a generator, for one column of a ``select`` or ``withColumn``.
+
+    A filter tests the finished column then.  On a plain computed one the filter is pushed below the projection,
+    with a copy of all that the column is made of for every reference.
+    """
+    return F.explode(F.array(c))
+
+
 def nan_to_null(value: Column) -> Column:
     """Missing data is NULL everywhere: NaN would poison sums and means."""
     return F.nullif(value, F.lit(float("nan")))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from climcube.functions import values
 from climcube.schema import SERIES_KEYS
 
 
@@ -78,8 +79,9 @@ def split_rejects(df: DataFrame, rules: Sequence[tuple[str, Column]]) -> tuple[D
     """Accepted rows, and rejected rows with the first reason that applies.
 
     A rule is a reason and a condition that is true for a bad row.  Bad rows
-    never stop a run; they end in the second table.
+    never stop a run; they end in the second table.  Either table works out the rules
+    once a row.
     """
     reason = F.coalesce(*[F.when(bad, F.lit(name)) for name, bad in rules])
-    marked = df.withColumn("reason", reason)
+    marked = df.withColumn("reason", values.finished(reason))
     return marked.filter("reason IS NULL").drop("reason"), marked.filter("reason IS NOT NULL")

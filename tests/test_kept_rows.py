@@ -61,6 +61,22 @@ def test_every_manifest_row_is_used_or_rejected(spark, tmp_path):
         read_manifest(spark, str(path)).count()
 
 
+def _listing(spark):
+    """A manifest whose fields are computed columns of stored rows."""
+    name = F.concat(F.lit("tas_d_M_h_r_g_2015_"), F.col("id"), F.lit(".nc"))
+    uri = F.when(F.col("id") % 3 == 0, " ").otherwise(F.concat(F.lit(" https://h/"), name))
+    return spark.range(30).select(F.concat(F.md5(name), F.lit(" ")).alias("md5"), uri.alias("uri"))
+
+
+def test_rejects_work_out_a_row_once(spark):
+    good, bad = audit.manifest_rejects(_listing(spark))
+    for df in (good, bad):
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert text.count("regexp_replace(") == 2  # one a field
+    assert (good.count(), bad.count()) == (20, 10)
+    assert {r.reason for r in bad.collect()} == {"no uri"}
+
+
 def test_copies_of_a_file_do_not_multiply_its_manifest_row(spark):
     manifest = spark.createDataFrame([("f", "1"), ("g", "2"), ("h", "3")], "file_name string, md5 string")
     digests = spark.createDataFrame([("f", "9"), ("f", "1"), ("g", "9"), ("g", "8")], "file_name string, actual_md5 string")
