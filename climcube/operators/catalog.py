@@ -8,6 +8,7 @@ from operator import and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from climcube.config import MODELS
 from climcube.functions import names
@@ -18,6 +19,9 @@ FILE_SERIES = ("variable", "model", "experiment")
 # Outcome of the skip test, in the order it is made.
 SKIP_REASONS = ("yearmean_exists", "v1_2_exists", "file_exists")
 
+#: Rows without a name are dealt to so many keys.
+SPREAD = 4096
+
 
 def keep_models_in_uri(df: DataFrame, models: Sequence[str] | None = MODELS,
                        column: str = "uri") -> DataFrame:
@@ -122,6 +126,19 @@ def file_groups(files: DataFrame, keys: Sequence[str] = FILE_SERIES) -> DataFram
     )
 
 
+def left_by_name(rows: DataFrame, files: DataFrame, column: str = "file_name") -> DataFrame:
+    """Left join on a name that occurs once in ``files``; the name comes first.
+
+    A row without a name meets nothing.  Such rows are spread by the hash of their texts: under a null key a single
+    task would get all of them.
+    """
+    named = F.concat(F.lit("/"), F.col(column))  # no number begins like this
+    texts = [F.col(f"`{f.name}`") for f in rows.schema if isinstance(f.dataType, T.StringType)]
+    left = rows.withColumn("_name", F.coalesce(named, F.pmod(F.xxhash64(*texts), F.lit(SPREAD)).cast("string")))
+    joined = left.join(files.withColumn("_name", named).drop(column), "_name", "left").drop("_name")
+    return joined.select(column, *[F.col(f"`{c}`") for c in joined.columns if c != column])
+
+
 def skip_existing(manifest: DataFrame, existing: DataFrame, column: str = "file_name") -> DataFrame:
     """Why a manifest row needs no work, or NULL when it does.
 
@@ -149,15 +166,18 @@ def pending(manifest: DataFrame, existing: DataFrame, column: str = "file_name")
     return skip_existing(manifest, existing, column).filter("skip_reason IS NULL").drop("skip_reason")
 
 
-def verify_digests(manifest: DataFrame, digests: DataFrame) -> DataFrame:
+def verify_digests(manifest: DataFrame, digests: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Compare expected and actual digests; a missing file is not verified.
 
     ``digests`` carries 32 characters per file, so contents never travel.  Of
     several files of one name (copies in several folders) one that matches is
-    enough; a manifest row stays one row.
+    enough; a manifest row stays one row.  ``known`` has further columns, one row per
+    ``file_name``, which the manifest gets in the same join.
     """
     found = digests.groupBy("file_name").agg(F.collect_set("actual_md5").alias("_found"))
-    joined = manifest.join(found, "file_name", "left")
+    if known is not None:
+        found = known.join(found, "file_name", "full")
+    joined = left_by_name(manifest, found)
     verified = F.coalesce(F.array_contains("_found", F.col("md5")), F.lit(False))
     status = (
         F.when(F.coalesce(F.size("_found"), F.lit(0)) <= 0, "missing")
@@ -168,9 +188,13 @@ def verify_digests(manifest: DataFrame, digests: DataFrame) -> DataFrame:
 
 
 def status_summary(df: DataFrame, levels: Sequence[str] = ("status", "experiment", "model")) -> DataFrame:
-    """Row counts by status with subtotals; ``ALL`` marks a subtotal."""
-    counted = df.rollup(*levels).agg(
-        F.count(F.lit(1)).alias("n"), *[F.grouping(c).alias(f"_g_{c}") for c in levels]
+    """Row counts by status with subtotals; ``ALL`` marks a subtotal.
+
+    Subtotals are sums of the counts per group, so a row of the input is counted once and not once a level.
+    """
+    per_group = df.groupBy(*levels).agg(F.count(F.lit(1)).alias("_n"))
+    counted = per_group.rollup(*levels).agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("n"), *[F.grouping(c).alias(f"_g_{c}") for c in levels]
     )
     return counted.select(
         *[F.when(F.col(f"_g_{c}") == 1, "ALL").otherwise(F.col(c)).alias(c) for c in levels], "n"

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from climcube.config import MODELS
-from climcube.functions import names
+from climcube.functions import names, values
 from climcube.operators import catalog, quality
 from climcube.sources.manifest import parse_names, strip_fields
 
@@ -82,14 +82,14 @@ def account(
         .when(other_model, "other model")
         .when(~names.wanted_variable(name), "other variable")
     )
-    marked = named.withColumn("_why", why)
-    # a chosen name stands for all its rows, however often it is listed
+    marked = named.withColumn("_why", values.finished(why))
+    # a chosen name stands for all its rows, however often it is listed, so the files on disk are met once a name
     usable = marked.filter("_why IS NULL").select("file_name").distinct()
-    best = catalog.pick_version(usable).select(name.alias("_best"))
-    chosen = marked.join(best, name == F.col("_best"), "left")
-    why = F.coalesce(F.col("_why"), F.when(F.col("_best").isNull(), "other version"))
-    checked = catalog.verify_digests(catalog.skip_existing(chosen.withColumn("_why", why), existing), digests)
-    status = F.coalesce(F.col("_why"), F.col("skip_reason"), F.col("status"))
+    best = catalog.skip_existing(catalog.pick_version(usable), existing)
+    best = best.select("file_name", "skip_reason", F.lit(True).alias("_best"))
+    checked = catalog.verify_digests(marked, digests, best)
+    other = F.when(F.col("_best").isNull(), "other version")
+    status = F.coalesce(F.col("_why"), other, F.col("skip_reason"), F.col("status"))
     return parse_names(checked.select("md5", "uri", "malformed", "file_name", status.alias("status")))
 
 

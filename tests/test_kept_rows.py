@@ -77,6 +77,33 @@ def test_rejects_work_out_a_row_once(spark):
     assert {r.reason for r in bad.collect()} == {"no uri"}
 
 
+def test_accounting_works_out_a_row_once_and_meets_files_in_one_join(spark):
+    existing = spark.createDataFrame([("tas_d_M_h_r_g_2015_1_yearmean.nc",)], "file_name string")
+    digests = spark.createDataFrame([("tas_d_M_h_r_g_2015_2.nc", "9")], "file_name string, actual_md5 string")
+    df = audit.account(_listing(spark), existing, digests, None)
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Filter isnull(_why") == 1  # the finished column, not what it is made of
+    assert text.count("Join") == 3  # file names with those on disk and with digests, rows with file names
+    got = df.groupBy("status").count().collect()
+    assert {r.status: r["count"] for r in got} == {"no uri": 10, "yearmean_exists": 1, "mismatch": 1, "missing": 18}
+
+
+def test_rows_without_a_name_are_spread(spark):
+    rows = spark.range(1000).select(F.when(F.col("id") < 0, "f").alias("file_name"), F.md5(F.col("id").cast("string")).alias("md5"))
+    digests = spark.range(9).select(F.col("id").cast("string").alias("file_name"), F.lit("9").alias("actual_md5"))
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        at = catalog.verify_digests(rows, digests).groupBy(F.spark_partition_id(), "status").count().collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(at) > 1 and {r.status for r in at} == {"missing"}
+    assert sum(r["count"] for r in at) == 1000
+
+
 def test_copies_of_a_file_do_not_multiply_its_manifest_row(spark):
     manifest = spark.createDataFrame([("f", "1"), ("g", "2"), ("h", "3")], "file_name string, md5 string")
     digests = spark.createDataFrame([("f", "9"), ("f", "1"), ("g", "9"), ("g", "8")], "file_name string, actual_md5 string")
