@@ -18,21 +18,24 @@ from __future__ import annotations
 
 import os
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import small_batches, text_or_empty
-from .words import Generations, parts_of, slices_of
+from .words import Generations, loose_space, parts_of, slices_of, split
 
 CAPACITY = 1024
 BLOCK = 1 << 21
 SLICE = 1 << 20
+#: Bytes of the texts that go through one look-up.
+JOINED_BYTES = 8 << 20
 END = np.zeros(1, "<u4").tobytes()
 #: Bits of a sequence number below the number of the task.
 TASK_SHIFT = 40
@@ -53,7 +56,7 @@ class Encoder:
         #: By identifier: does the token begin with a space?
         self.spaced = np.zeros(max(known.values()) + 1, bool)
         self.spaced[[i for token, i in known.items() if token.startswith("\u0120")]] = True
-        self.first, self.later = Generations(self._encode, 100_000), Generations(self._later, 1_000_000)
+        self.first, self.later = Generations(self._encode, 100_000), Generations(self._later, 1_500_000)
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -63,36 +66,43 @@ class Encoder:
         return [x.tobytes() for x in self._ids(texts)]
 
     def _later(self, parts: list[str]) -> list[bytes]:
-        """Parts after a space.
-
-        Parts are encoded many at a time, each behind its space: a token that begins with a space begins the
-        next part.  Those with spaces of their own, or other white space at an end, are encoded alone.
-        """
-        plain = [x for x in parts if " " not in x and x.strip() == x]
-        blocks = [plain[i : i + self.JOINED] for i in range(0, len(plain), self.JOINED)]
-        out: dict[str, bytes] = {}
-        for block, ids in zip(blocks, self._ids([" " + " ".join(b) for b in blocks]), strict=True):
-            starts = np.flatnonzero(self.spaced[ids])
-            if len(starts) == len(block) and starts[0] == 0:
-                raw, ends = ids.tobytes(), [*(4 * starts[1:]).tolist(), 4 * len(ids)]
-                out.update((x, raw[a:b]) for x, a, b in zip(block, [0, *ends], ends, strict=False))
-        rest = [x for x in parts if x not in out]
-        out.update(zip(rest, self._encode([" " + x for x in rest]), strict=True))
-        return [out[x] for x in parts]
-
-    def many(self, texts: list[str]) -> list[bytes]:
+        """Parts after a space, encoded many at a time."""
+        blocks = [parts[i : i + self.JOINED] for i in range(0, len(parts), self.JOINED)]
+        joined = [" " + " ".join(b) for b in blocks]
+        # A token that begins with a space begins the next part, if no part has other spaces or white space at an end.
+        plain = [not loose_space(x) for x in joined]
+        found = iter(self._ids([x for x, good in zip(joined, plain, strict=True) if good]))
+        out: list[bytes] = []
+        for block, good in zip(blocks, plain, strict=True):
+            if good:
+                ids = next(found)
+                starts = np.flatnonzero(self.spaced[ids])
+                if len(starts) == len(block) and starts[0] == 0:
+                    raw, ends = ids.tobytes(), [*(4 * starts).tolist(), 4 * len(ids)]
+                    out += [raw[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+                    continue
+            out += self._encode([" " + x for x in block])
+        return out
+
+    def many(self, texts: list[str] | pa.Array) -> list[bytes]:
         """Whole texts, through one look-up of their distinct parts."""
-        parts = [parts_of(t) for t in texts]
-        heads = self.first.of([p[0] for p in parts])
-        later = pa.array([x for p in parts for x in p[1:]], pa.large_string()).dictionary_encode()
-        if not len(later):
+        parts = split(texts)
+        at = parts.offsets.to_numpy()
+        words = parts.values.dictionary_encode()
+        codes, known = words.indices.to_numpy(), words.dictionary
+        heads = self.first.of(known.take(pa.array(codes[at[:-1]])).to_pylist())
+        codes = np.delete(codes, at[:-1])
+        if not len(codes):
             return heads
-        found = pa.array(self.later.of(later.dictionary.to_pylist()), pa.large_binary()).take(later.indices)
+        used = np.zeros(len(known), bool)
+        used[codes] = True
+        places = (np.cumsum(used) - 1)[codes]
+        values = self.later.of(known.filter(pa.array(used)).to_pylist())
+        found = pa.array(values, pa.large_binary()).take(pa.array(places))
         # Identifiers of all texts stand one after the other; a text's begin where its second part does.
         _, ends, raw = found.buffers()
-        first = np.cumsum([0] + [len(p) - 1 for p in parts])
-        at = np.frombuffer(ends, np.int64, len(found) + 1)[first].tolist()
-        return [head + raw[a:b].to_pybytes() for head, a, b in zip(heads, at, at[1:], strict=False)]
+        first = np.frombuffer(ends, np.int64, len(found) + 1)[at - np.arange(len(at))].tolist()
+        return [head + raw[a:b].to_pybytes() for head, a, b in zip(heads, first, first[1:], strict=False)]
 
     def slices(self, text: str) -> Iterator[bytes]:
         """The same piece by piece, for a very long text."""
@@ -161,6 +171,19 @@ def fill(sizes: list[int], capacity: int) -> list[list[tuple[int, int, int]]]:
     return [b for b in bins if b]
 
 
+def joined(batches: Iterable[pa.RecordBatch], most: int = JOINED_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``most`` bytes, so that the words they share are looked up once; larger ones stay."""
+    held, size = [], 0
+    for batch in batches:
+        if held and size + batch.nbytes > most:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+        held.append(batch)
+        size += batch.nbytes
+    if held:
+        yield pa.concat_batches(held)
+
+
 SCHEMA = "start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
 
@@ -197,18 +220,20 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, block:
 
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
         arrow_kind = pa.null()
-        for batch in batches:
+        for batch in joined(batches):
             arrow_kind = batch.column("doc_id").type
-            texts = batch.column("_text").to_pylist()
-            short = iter(encoder.many([t for t in texts if len(t) <= SLICE]))
-            for doc, text in zip(batch.column("doc_id").to_pylist(), texts, strict=True):
+            texts = batch.column("_text")
+            whole = pc.less_equal(pc.utf8_length(texts), SLICE)
+            short = iter(encoder.many(texts.filter(whole)))
+            long = iter(texts.filter(pc.invert(whole)))
+            for doc, at_once in zip(batch.column("doc_id").to_pylist(), whole.to_pylist(), strict=True):
                 full, ids = [], b""
-                for more in [next(short)] if len(text) <= SLICE else encoder.slices(text):
+                for more in [next(short)] if at_once else encoder.slices(next(long).as_py()):
                     ids += more
-                    whole = len(ids) // 4 // capacity
-                    for i in range(whole):
+                    n = len(ids) // 4 // capacity
+                    for i in range(n):
                         full.append(zlib.crc32(memoryview(ids)[4 * capacity * i : 4 * capacity * (i + 1)]))
-                    ids = ids[4 * capacity * whole :]
+                    ids = ids[4 * capacity * n :]
                 ids += END
                 if len(ids) == 4 * capacity:
                     full.append(zlib.crc32(ids))

@@ -10,6 +10,7 @@ from types import SimpleNamespace
 
 import llm_cases as cases
 import numpy as np
+import pyarrow as pa
 import pytest
 from public_tokenizers import path as tokenizer_path
 from pyspark.sql import functions as F
@@ -342,6 +343,21 @@ def check_pieces(rows, texts):
     return sequences
 
 
+def test_batches_are_joined_and_split_as_by_the_plain_rule():
+    from climcube.llm import words
+
+    white = [chr(c) for c in range(0x3001) if chr(c).isspace() or chr(c) == "\u200b"]
+    texts = [f"a{x} b c" for x in white] + [f"a {x}b" for x in white] + ["", " ", " a", "a ", "a\nb\n\nc d", "\na b\n", "a  b"]
+    assert words.split(texts).to_pylist() == [words.parts_of(t) for t in texts]
+    assert words.split(["a b", "\nc d\n"]).to_pylist() == [["a", "b"], ["\nc", "d\n"]]
+    batches = [pa.record_batch([pa.array([i]), pa.array([f"w{i} word " * 5])], names=["doc_id", "_text"]) for i in range(40)]
+    joined = list(packing.joined(batches, 500))
+    assert 1 < len(joined) < 20 and pa.Table.from_batches(joined) == pa.Table.from_batches(batches)
+    asked = []
+    memory = words.Generations(lambda xs: asked.append(xs) or [x.encode() for x in xs], 8)
+    assert memory.of(list("abcabd")) == [b"a", b"b", b"c", b"a", b"b", b"d"] and asked == [list("abcd")]
+
+
 def test_packing(spark, docs, real):
     path = tokenizer_path("byte_bpe_50k.json")
     rows = packing.pack(docs, path).collect()
