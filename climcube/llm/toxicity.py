@@ -228,8 +228,8 @@ def _bucket() -> Column:
     return F.floor(F.log2(F.col("n").cast("double")) * 8).cast("int")
 
 
-def _least_sent(scores: DataFrame, most: int) -> int:
-    """The least size class such that it and all larger ones hold at most so many scores."""
+def _least_sent(scores: DataFrame, most: int) -> tuple[int, bool]:
+    """The least size class such that it and all larger ones hold at most so many scores; are these all scores?"""
     sizes = {r.b: r.c for r in scores.groupBy(_bucket().alias("b")).agg(F.count(F.lit(1)).alias("c")).collect()}
     held, least = 0, max(sizes, default=0) + 1
     for size in sorted(sizes, reverse=True):
@@ -237,7 +237,7 @@ def _least_sent(scores: DataFrame, most: int) -> int:
         if held > most:
             break
         least = size
-    return least
+    return least, held <= most
 
 
 def added_up(rows: DataFrame, by: list[str], key: str, scores: DataFrame, most_sent: int = MOST_SENT) -> DataFrame:
@@ -245,11 +245,14 @@ def added_up(rows: DataFrame, by: list[str], key: str, scores: DataFrame, most_s
 
     ``scores`` has every key with its ``ratio`` and its frequency ``n``.  Frequent keys meet their scores in the task
     that holds the rows.  The others are counted per group and shuffled; the key of what is left of
-    a group is salted, so that no task gets all of them.
+    a group is salted, so that no task gets all of them.  Where no others are, groups are shuffled once.
     """
     scores = scores.withColumn("_b", _bucket())
-    least = _least_sent(scores, most_sent)
+    least, all_sent = _least_sent(scores, most_sent)
     sent = scores.where(F.col("_b") >= least).select(key, F.col("ratio").alias("_sent"))
+    if all_sent:
+        met = rows.join(F.broadcast(sent), key, "left").groupBy(*by)
+        return met.agg(F.sum(F.coalesce("_sent", F.lit(0.0))).alias("total"), F.count(key).alias("size"))
     rest = scores.where(F.col("_b") < least).select(F.col(key).alias("_rare"), F.col("ratio").alias("_rest"))
     salt = F.concat(F.lit(" "), F.pmod(F.xxhash64(*by), F.lit(4096)).cast("string"))  # no word or window has a space
     rare = F.when(F.col("_sent").isNull(), F.col(key))

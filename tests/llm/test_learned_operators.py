@@ -103,6 +103,19 @@ def test_toxicity_estimates(spark):
         assert math.isclose(r.ratio, math.log(p[0] / p[1]), rel_tol=1e-9, abs_tol=1e-12)
 
 
+def test_groups_are_shuffled_once_where_all_scores_are_sent(spark):
+    """Both forms give the same sums; a group without keys, a key without a score and a null group stay."""
+    rows = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (2, None), (3, "x"), (None, "b")], "g int, word string")
+    scores = spark.createDataFrame([("a", 1.5, 4), ("b", -0.25, 2), ("c", 9.0, 1)], "word string, ratio double, n long")
+    want = [(None, -0.25, 1), (1, 2.75, 3), (2, 0.0, 0), (3, 0.0, 1)]
+    plans = []
+    for most in (3, 2, 0):
+        found = toxicity.added_up(rows, ["g"], "word", scores, most)
+        plans.append(found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning"))
+        assert sorted(map(tuple, found.collect()), key=lambda r: r[0] or 0) == want
+    assert plans[0] == 1 < plans[1]
+
+
 def test_toxicity_scores_sent_or_shuffled(spark, learned):
     """How many scores are sent to the tasks changes nothing, and a raw score is the sum over its words."""
     docs, labels = learned
