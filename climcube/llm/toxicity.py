@@ -240,9 +240,13 @@ def _least_sent(scores: DataFrame, most: int) -> tuple[int, bool]:
     return least, held <= most
 
 
-def added_up(rows: DataFrame, by: list[str], key: str, scores: DataFrame, most_sent: int = MOST_SENT) -> DataFrame:
+def added_up(
+    rows: DataFrame, by: list[str], key: str, scores: DataFrame, most_sent: int = MOST_SENT, same: tuple[str, ...] = ()
+) -> DataFrame:
     """``by``, total, size: sum of the scores of a group's keys, and how many keys it has; a null key is none.
 
+    ``same`` names columns that are alike in all rows of a group and stay; the result is partitioned by ``by`` alone.
+
     ``scores`` has every key with its ``ratio`` and its frequency ``n``.  Frequent keys meet their scores in the task
     that holds the rows.  The others are counted per group and shuffled; the key of what is left of
     a group is salted, so that no task gets all of them.  Where no others are, groups are shuffled once.
@@ -250,18 +254,19 @@ def added_up(rows: DataFrame, by: list[str], key: str, scores: DataFrame, most_s
     scores = scores.withColumn("_b", _bucket())
     least, all_sent = _least_sent(scores, most_sent)
     sent = scores.where(F.col("_b") >= least).select(key, F.col("ratio").alias("_sent"))
+    kept = [F.max(c).alias(c) for c in same]
     if all_sent:
         met = rows.join(F.broadcast(sent), key, "left").groupBy(*by)
-        return met.agg(F.sum(F.coalesce("_sent", F.lit(0.0))).alias("total"), F.count(key).alias("size"))
+        return met.agg(F.sum(F.coalesce("_sent", F.lit(0.0))).alias("total"), F.count(key).alias("size"), *kept)
     rest = scores.where(F.col("_b") < least).select(F.col(key).alias("_rare"), F.col("ratio").alias("_rest"))
     salt = F.concat(F.lit(" "), F.pmod(F.xxhash64(*by), F.lit(4096)).cast("string"))  # no word or window has a space
     rare = F.when(F.col("_sent").isNull(), F.col(key))
     parts = rows.join(F.broadcast(sent), key, "left").groupBy(*by, F.coalesce(rare, salt).alias("_rare")).agg(
-        F.sum(F.coalesce("_sent", F.lit(0.0))).alias("_total"), F.count(key).alias("_n")
+        F.sum(F.coalesce("_sent", F.lit(0.0))).alias("_total"), F.count(key).alias("_n"), *kept
     )
     total = F.sum(F.col("_total") + F.coalesce(F.col("_rest") * F.col("_n"), F.lit(0.0)))
     joined = parts.join(rest.hint("shuffle_hash"), "_rare", "left")
-    return joined.groupBy(*by).agg(total.alias("total"), F.sum("_n").alias("size"))
+    return joined.groupBy(*by).agg(total.alias("total"), F.sum("_n").alias("size"), *kept)
 
 
 def word_scores(words: DataFrame, model: ToxicityModel, most_sent: int = MOST_SENT) -> DataFrame:
@@ -284,7 +289,7 @@ def word_scores(words: DataFrame, model: ToxicityModel, most_sent: int = MOST_SE
     found = found.withColumn("r", F.coalesce(F.element_at("seen", F.col("u")), "unseen"))
     longest = F.max_by("r", F.when(F.col("r").isNotNull(), F.col("k")))
     ratios = found.groupBy("window").agg(F.coalesce(longest, F.lit(0.0)).alias("ratio"), F.max("n").alias("n"))
-    scored = added_up(rows, ["word", "n"], "window", cut(ratios), most_sent)
+    scored = added_up(rows, ["word"], "window", cut(ratios), most_sent, ("n",))
     return scored.select("word", "n", F.col("total").alias("ratio"))
 
 

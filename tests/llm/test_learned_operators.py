@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from climcube.llm import html_wrappers, queries, quality_classifier, toxicity, urls
+from climcube.llm import common, html_wrappers, queries, quality_classifier, toxicity, urls
 
 
 @pytest.fixture(scope="module")
@@ -114,6 +114,20 @@ def test_groups_are_shuffled_once_where_all_scores_are_sent(spark):
         plans.append(found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning"))
         assert sorted(map(tuple, found.collect()), key=lambda r: r[0] or 0) == want
     assert plans[0] == 1 < plans[1]
+    for most in (3, 2):
+        kept = toxicity.added_up(rows.withColumn("s", F.col("g") + 10), ["g"], "word", scores, most, ("s",)).collect()
+        assert all(r.s == (r.g and r.g + 10) for r in kept) and len(kept) == 4
+
+
+def test_words_are_shuffled_once_for_their_values(spark):
+    """The sums of a word's windows and its labelled counts meet without another shuffle of the words."""
+    docs = spark.createDataFrame([(k, ("bad", "fine day", "plain")[k % 3]) for k in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(60)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    words = common.cut(spark.createDataFrame([("bad", 3), ("new", 1)], "word string, n long"))
+    plan = toxicity.word_values(words, model)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning\(word#\d+", plan)) == 1
+    assert {r.word: r.n for r in toxicity.word_values(words, model).collect()} == {"bad": 3, "new": 1}
 
 
 def test_toxicity_scores_sent_or_shuffled(spark, learned):
