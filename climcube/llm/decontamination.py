@@ -5,13 +5,15 @@ is its shingles of up to five words.  For containment of a whole set one shingle
 sufficient prefix if it is the rarest, so every window is filed under the shingle that the
 corpus holds least often.  A document position with that shingle is a candidate if the window
 fits between the start and the end of the document (length and positional bounds), and it is an
-occurrence if all shingles of the window stand at their places.
+occurrence if all shingles of the window stand at their places, that is all its words.
 
-Texts are split once.  What leaves the scan is a row per document and one per position whose
-words are a shingle of some item; these narrow rows are written to the shared folder, and
-rarity, candidates and verification are joins over them.  Documents' arrays of words are never shuffled.
-The shingles of the items are broadcast if a count shows at most ``BROADCAST_ROWS`` of them;
-otherwise positions are joined by their key, each with the up to five words that stand there.
+Texts are split twice: once to count the shingles, once to meet the windows under their rarest
+shingles.  A document's words are cut into overlapping pieces of a bounded number of words, and a
+position takes its own piece along, so a candidate is verified where it is found, and only
+occurrences leave the scan.  Neither positions nor candidates are written or shuffled, however
+many documents hold a passage.  Documents' arrays of words are never shuffled.
+The shingles (windows) are broadcast if a count shows at most ``BROADCAST_ROWS`` of them;
+otherwise positions are joined by their key, each with the words that it is compared by.
 
 Defined cases: null and wordless texts are clean with no words; items without words have no
 window; equal windows of several items count for each of them; items that share an identifier are
@@ -29,6 +31,10 @@ from .common import ascii_lower, broadcast_if_small, cut, doc_key, packed, text_
 
 WINDOW = 13
 SHINGLE = 5
+#: Positions of a piece; with the words around them for any window it has at most 20 more.
+PIECE = 64
+#: Words before a position that a window filed under its shingle may need; what follows it is less than a window.
+BEFORE = WINDOW - SHINGLE
 #: A row of the broadcast table takes about 200 bytes.
 BROADCAST_ROWS = 200_000
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -46,7 +52,7 @@ def with_words(df: DataFrame, text: str = "_text") -> DataFrame:
 
 
 def shingles_of(items: DataFrame) -> DataFrame:
-    """Shingles of the distinct windows: window (an identifier), items, size, k, n, at, key, words."""
+    """Shingles of the distinct windows: window (an identifier), whole (its words), items, size, k, at, words."""
     df = with_words(items.select("item_id", text_or_empty().alias("_text"))).where(F.size("_words") > 0)
     starts = F.sequence(F.lit(1), F.greatest(F.size("_words") - (WINDOW - 1), F.lit(1)))
     pieces = F.transform(starts, lambda at: F.slice("_words", at, WINDOW))
@@ -63,9 +69,9 @@ def shingles_of(items: DataFrame) -> DataFrame:
         lambda at: F.struct(at.alias("at"), F.slice("words", at + 1, F.col("k")).alias("words")),
     )
     return windows.select(
-        F.sha2(F.concat_ws(" ", "words"), 256).alias("window"), "items", "size", "k",
-        (F.col("size") - F.col("k") + 1).alias("n"), F.explode(each).alias("s"),
-    ).select("window", "items", "size", "k", "n", "s.at", F.concat_ws(" ", "s.words").alias("words"))
+        F.sha2(F.concat_ws(" ", "words"), 256).alias("window"), F.concat_ws(" ", "words").alias("whole"),
+        "items", "size", "k", F.explode(each).alias("s"),
+    ).select("window", "whole", "items", "size", "k", "s.at", F.concat_ws(" ", "s.words").alias("words"))
 
 
 def _key(words: Column, at: Column, k: int) -> Column:
@@ -81,52 +87,92 @@ def _keyed(shingles: DataFrame) -> DataFrame:
     return shingles.withColumn("key", key)
 
 
-def _matches(docs: DataFrame, shingles: DataFrame) -> DataFrame:
-    """A row (at -1) per document with its n_words, and one per position that holds a shingle.
+def _sizes(shingles: DataFrame) -> list[int]:
+    return sorted(r.k for r in shingles.select("k").distinct().collect())  # at most SHINGLE values
+
 
-    The outer generator and the null in front of the words give each document its own row, and
-    keep the optimiser from copying the tokenisation into a filter below the generator.
+def _positions(docs: DataFrame, sizes: list[int]) -> DataFrame:
+    """A row per position and size of shingle: doc, n_words, at, first, k, key, and the piece ``_words`` that starts at ``base``.
+
+    A wordless document has one position.  The outer generators keep the optimiser from copying the
+    tokenisation into a filter below them.  Rows that a generator makes are copies of their piece,
+    so pieces keep the work in proportion to the words of a document, however many it has.
     """
-    known = shingles.select(
-        F.col("k").alias("_k"), F.col("key").alias("_key"), F.col("words").alias("_known")
-    ).distinct()
-    sizes = sorted(r._k for r in known.select("_k").distinct().collect())  # at most SHINGLE values
-    df = with_words(docs.select("doc_id", text_or_empty().alias("_text"))).select(
-        doc_key(F.col("_text")).alias("doc"), "_words"
+    df = with_words(docs.select("doc_id", text_or_empty().alias("_text")))
+    df = df.select(doc_key(F.col("_text")).alias("doc"), F.size("_words").alias("n_words"), "_words")
+    pieces = F.transform(
+        F.sequence(F.lit(0), F.greatest(F.col("n_words") - 1, F.lit(0)), F.lit(PIECE)),
+        lambda at: F.struct(
+            at.alias("low"),
+            F.greatest(at - BEFORE, F.lit(0)).alias("base"),
+            F.slice("_words", F.greatest(at - BEFORE, F.lit(0)) + 1, BEFORE + PIECE + WINDOW - 1).alias("_words"),
+        ),
     )
-    n_words = F.size("_words")
-    df = df.select("doc", "_words", n_words.alias("n_words"), F.posexplode_outer("_words").alias("_pos", "_word"))
-    first = F.coalesce(F.col("_pos"), F.lit(0)) == 0
-    at = F.coalesce(F.col("_pos"), F.lit(0))
-    if not sizes:
-        rows = df.where(first).select("doc", "n_words", F.lit(-1).alias("at"), F.lit("").alias("words"), F.lit(0).alias("k"))
-        return rows.distinct()
+    df = df.select("doc", "n_words", F.explode_outer(pieces).alias("p")).select("doc", "n_words", "p.*")
+    last = F.greatest(F.least(F.col("low") + PIECE, F.col("n_words")) - 1, F.col("low"))
+    df = df.select("doc", "n_words", "base", "_words", F.explode_outer(F.sequence("low", last)).alias("at"))
+    place = F.col("at") - F.col("base")
     if len(sizes) == 1:
-        df = df.select("doc", "_words", "n_words", at.alias("at"), first.alias("first"),
-                       F.lit(sizes[0]).alias("k"), _key(F.col("_words"), at, sizes[0]).alias("key"))
+        df = df.withColumn("k", F.lit(sizes[0])).withColumn("key", _key(F.col("_words"), place, sizes[0]))
     else:
-        keys = F.array(*[F.struct(F.lit(k).alias("k"), _key(F.col("_words"), at, k).alias("key")) for k in sizes])
-        df = df.select("doc", "_words", "n_words", at.alias("at"), first.alias("first"), F.explode_outer(keys).alias("s"))
-        df = df.select("doc", "_words", "n_words", "at", (F.col("first") & (F.col("s.k") == sizes[0])).alias("first"), "s.k", "s.key")
-    fits = F.col("at") + F.col("k") <= F.col("n_words")
-    # The words decide, not their hash.
-    here = F.concat_ws(" ", F.slice("_words", F.col("at") + 1, F.col("k")))
+        keys = F.array(*[F.struct(F.lit(k).alias("k"), _key(F.col("_words"), place, k).alias("key")) for k in sizes])
+        df = df.select("doc", "n_words", "base", "_words", "at", F.explode_outer(keys).alias("s"))
+        df = df.select("doc", "n_words", "base", "_words", "at", "s.k", "s.key")
+    return df.withColumn("first", (F.col("at") == 0) & (F.col("k") == sizes[0]))
+
+
+def _meet(positions: DataFrame, known: DataFrame, start: Column, size: Column, how: str) -> tuple[DataFrame, Column]:
+    """Positions joined with the rows of ``known`` (_k, _key) and, beside them, the ``size`` words from ``start`` on.
+
+    These are compared by the caller: the words decide, not their hash.
+    """
+    same = (F.col("key") == F.col("_key")) & (F.col("k") == F.col("_k"))
     if known.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        known = F.broadcast(known)
-    else:  # positions meet their keys by a shuffle, which takes a position's own words and no other
-        df = df.withColumn("_here", here).drop("_words")
-        known, here = known.hint("shuffle_hash"), F.col("_here")
-    joined = df.join(known, (F.col("key") == F.col("_key")) & (F.col("k") == F.col("_k")), "left").where(
-        F.col("first") | (F.col("_key").isNotNull() & fits)
-    )
-    found = F.col("_key").isNotNull() & fits & (here == F.col("_known"))
-    rows = F.array_compact(
-        F.array(
-            F.when(F.col("first"), F.struct(F.lit(-1).alias("at"), F.lit("").alias("words"), F.lit(0).alias("k"))),
-            F.when(found, F.struct("at", F.col("_known").alias("words"), "k")),
-        )
+        joined, words, base = positions.join(F.broadcast(known), same, how), F.col("_words"), F.col("base")
+    else:  # positions meet their keys by a shuffle, which takes the words around a position and no other
+        base = F.greatest(F.col("at") - BEFORE, F.lit(0))
+        here = F.slice("_words", base - F.col("base") + 1, F.col("at") - base + WINDOW)
+        positions = positions.withColumn("_here", F.concat_ws(" ", here)).drop("_words", "base")
+        joined, words = positions.join(known.hint("shuffle_hash"), same, how), F.split("_here", " ")
+    return joined, F.concat_ws(" ", F.slice(words, F.greatest(start - base, F.lit(0)) + 1, size))
+
+
+def _counts(docs: DataFrame, shingles: DataFrame) -> DataFrame:
+    """words, count: how often each shingle that occurs does so, over all rows of documents."""
+    sizes = _sizes(shingles)
+    known = shingles.select(F.col("k").alias("_k"), F.col("key").alias("_key"), "words").distinct()
+    if not sizes:
+        return known.select("words", F.lit(0).cast("long").alias("count"))
+    joined, here = _meet(_positions(docs, sizes), known, F.col("at"), F.col("k"), "inner")
+    fits = F.col("at") + F.col("k") <= F.col("n_words")
+    # As a case it is asked of positions that have met their key only; an equality would become a key of the join.
+    return joined.where(F.when(fits, here == F.col("words")).otherwise(False)).groupBy("words").count()
+
+
+def _matches(docs: DataFrame, shingles: DataFrame) -> DataFrame:
+    """Rows of doc, n_words, start, size, items: one at least per document, one per window that stands in it.
+
+    A window is looked for under the shingles that ``shingles`` has of it.  Without a window start, size and items are null.
+    """
+    sizes = _sizes(shingles)
+    known = shingles.select(
+        F.col("k").alias("_k"), F.col("key").alias("_key"), F.col("at").alias("_offset"),
+        F.col("size").alias("_size"), F.col("whole").alias("_whole"), F.col("items").alias("_items"),
     )
-    return joined.select("doc", "n_words", F.explode(rows).alias("r")).select("doc", "n_words", "r.*").distinct()
+    if not sizes:
+        df = with_words(docs.select("doc_id", text_or_empty().alias("_text")))
+        df = df.select(doc_key(F.col("_text")).alias("doc"), F.size("_words").alias("n_words"))
+        none = shingles.schema["items"].dataType
+        return df.select("doc", "n_words", F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("size"),
+                         F.lit(None).cast(none).alias("items"))
+    start = F.col("at") - F.col("_offset")
+    joined, here = _meet(_positions(docs, sizes), known, start, F.col("_size"), "left")
+    fits = F.col("_key").isNotNull() & (start >= 0) & (start + F.col("_size") <= F.col("n_words"))
+    found = fits & (here == F.col("_whole"))
+    return joined.select(
+        "doc", "n_words", "first", F.when(found, start).alias("start"), F.when(found, F.col("_size")).alias("size"),
+        F.when(found, F.col("_items")).alias("items"),
+    ).where(F.col("first") | F.col("start").isNotNull()).drop("first")
 
 
 def _covered(hits: Column) -> Column:
@@ -147,50 +193,34 @@ def _covered(hits: Column) -> Column:
 def results(docs: DataFrame, items: DataFrame) -> DataFrame:
     """A row per distinct document: doc, n_words, n_hit, n_items, items_sha256."""
     shingles = _keyed(cut(shingles_of(items)))
-    matches = cut(_matches(docs, shingles))
-    positions = matches.where("at >= 0").select("doc", "n_words", "at", "words")
-    counts = positions.groupBy("words").count()
     # A window with a shingle that occurs nowhere cannot occur.
-    prefix = (
-        shingles.join(counts, "words", "left")
-        .groupBy("window", "items", "size", "n")
-        .agg(F.min(F.struct(F.coalesce("count", F.lit(0)).alias("count"), "words", "at")).alias("p"))
+    rarest = (
+        shingles.join(_counts(docs, shingles), "words", "left")
+        .groupBy("window", "whole", "items", "size", "k")
+        .agg(F.min(F.struct(F.coalesce("count", F.lit(0)).alias("count"), "words", "at", "key")).alias("p"))
         .where("p.count > 0")
-        .select("window", "items", "size", "n", "p.words", F.col("p.at").alias("offset"))
     )
-    candidates = (
-        positions.join(prefix, "words")
-        .withColumn("start", F.col("at") - F.col("offset"))
-        .where("start >= 0 and start + size <= n_words")
-        .select("doc", "window", "start")
-    )
-    parts = shingles.select("window", "size", "n", F.col("at").alias("offset"), "words", "items")
-    standing = (
-        candidates.join(parts.drop("items"), "window")
-        .select("doc", "window", "start", "size", "n", (F.col("start") + F.col("offset")).alias("at"), "words")
-        .join(positions.select("doc", "at", "words"), ["doc", "at", "words"])
-        .groupBy("doc", "window", "start", "size", "n")
-        .count()
-        .where("count = n")
-    )
-    names = parts.groupBy("window").agg(F.first("items").alias("items"))
-    hits = (
-        standing.join(names, "window")
+    prefix = cut(rarest.select("whole", "items", "size", "k", "p.words", "p.at", "p.key"))
+    # Equal lists of items get a number, which stands for them until a document's windows are known.
+    names = cut(prefix.select("items").distinct().select(F.monotonically_increasing_id().alias("set"), "items"))
+    numbered = prefix.join(names, "items").drop("items").withColumnRenamed("set", "items")
+    return (
+        _matches(docs, numbered)
         .groupBy("doc")
         .agg(
-            F.collect_set(F.struct("start", "size")).alias("_hits"),
-            F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("_names"),
+            F.max("n_words").cast("long").alias("n_words"),
+            F.collect_set(F.when(F.col("start").isNotNull(), F.struct("start", "size"))).alias("_hits"),
+            F.collect_set("items").alias("_sets"),
         )
+        .select("doc", "n_words", _covered(F.col("_hits")).cast("long").alias("n_hit"), F.explode_outer("_sets").alias("set"))
+        .join(broadcast_if_small(names, BROADCAST_ROWS), "set", "left")
+        .groupBy("doc", "n_words", "n_hit")
+        .agg(F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("_names"))
         .select(
-            "doc", _covered(F.col("_hits")).cast("long").alias("n_hit"), F.size("_names").cast("long").alias("n_items"),
-            F.concat_ws(",", "_names").alias("_names"),
+            "doc", "n_words", "n_hit", F.size("_names").cast("long").alias("n_items"),
+            F.sha2(F.concat_ws(",", "_names"), 256).alias("items_sha256"),
         )
     )
-    whole = matches.where("at = -1").select("doc", F.col("n_words").cast("long").alias("n_words"))
-    return whole.join(hits, "doc", "left").select(
-        "doc", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("n_items", F.lit(0)).alias("n_items"),
-        F.sha2(F.coalesce("_names", F.lit("")), 256).alias("items_sha256"),
-    )
 
 
 def contaminated() -> Column:

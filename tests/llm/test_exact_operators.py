@@ -145,6 +145,47 @@ def test_no_array_of_words_is_shuffled(spark, docs, monkeypatch):
     assert "AS _here#" in below[0] and not re.search(r"[\[ ]_words#\d+[,\]]", below[0].split("concat_ws")[0])
 
 
+def test_what_is_written_does_not_grow_with_a_common_passage(spark, monkeypatch):
+    """A passage in many documents, many times: neither its positions nor its candidates are written."""
+    written = []
+
+    def cut(df, eager=True):
+        out = common.cut(df, eager)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(decontamination, "cut", cut)
+    passage = " ".join(f"p{i}" for i in range(40))
+    texts = [" ".join([f"own{n}", *[passage] * 20]) for n in range(150)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = [(i, *w) for i, w in enumerate(cases.contamination(texts, [(1, passage)]))]
+    got = cases.pairs(decontamination.contamination(docs, items(spark, [(1, passage)])), *HITS)
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert written and max(written) <= 28 * 9  # the shingles of the item's windows
+
+
+def test_no_row_of_the_scan_holds_more_than_a_piece(spark):
+    docs = spark.createDataFrame([(0, " ".join(f"w{i}" for i in range(1000)))], "doc_id long, text string")
+    rows = decontamination._positions(docs, [2, 5]).select("at", "base", "k", "n_words", F.size("_words").alias("n")).collect()
+    assert sorted((r["at"], r["k"]) for r in rows) == [(i, k) for i in range(1000) for k in (2, 5)]
+    assert max(r["n"] for r in rows) < decontamination.PIECE + 2 * decontamination.WINDOW
+    for r in rows:  # all that a window filed under this position may need
+        assert r["base"] <= max(0, r["at"] - 8) and r["base"] + r["n"] >= min(r["n_words"], r["at"] + 13)
+
+
+def test_passages_across_pieces(spark, monkeypatch):
+    """Passages at every place of a piece, whole and short by a word at either end, of shared and of small items."""
+    words = [f"p{i}" for i in range(15)]
+    known = [(1, " ".join(words)), (2, " ".join(words)), (3, "p3 p4 p5 p6 p7 p8"), (4, "p9 o1")]
+    texts = [" ".join([*[f"o{i}" for i in range(n)], *part, "o1 end"]) for n in range(70) for part in (words, words[1:13], words[:12])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = sorted(((i, *w) for i, w in enumerate(cases.contamination(texts, known))), key=str)
+    for most in (decontamination.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(decontamination, "BROADCAST_ROWS", most)
+        got = cases.pairs(decontamination.contamination(docs, items(spark, known)), *HITS)
+        assert sorted(got, key=str) == want
+
+
 def test_decontamination_stage(spark, docs):
     kept = decontamination.drop_contaminated(docs, items(spark))
     clean = decontamination.contamination(docs, items(spark)).where("not contaminated")
